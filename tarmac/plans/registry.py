@@ -36,13 +36,17 @@ def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None
     return add
 
 
+# Added before rounding, so that a tie reached through another order of summation rounds alike.
+TIE = 1e-9
+
+
 def present(df: DataFrame, exact: bool = False) -> DataFrame:
     """Comparable values: doubles to six places, dates and timestamps as text."""
     out = []
     for f in df.schema.fields:
         kind, c = f.dataType.typeName(), F.col(f"`{f.name}`")
         if kind in ("double", "float", "decimal"):
-            c = c.cast("double") if exact else F.round(c.cast("double"), 6)
+            c = c.cast("double") if exact else F.round(c.cast("double") + TIE, 6)
         elif kind in ("date", "timestamp", "timestamp_ntz"):
             c = c.cast("string")
         out.append(c.alias(f.name))
@@ -55,7 +59,7 @@ def runner(entry: Entry) -> Callable[[SparkSession, str], DataFrame]:
 
 def R(expr: str) -> str:
     """Rounded double in SQL."""
-    return f"ROUND(CAST({expr} AS DOUBLE), 6)"
+    return f"ROUND(CAST({expr} AS DOUBLE) + 1e-9, 6)"
 
 
 def RA(expr: str, name: str) -> str:
