@@ -67,7 +67,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Cut the lineage: write a table into the shared folder and read it back.
+
+    Later stages see stored values (ids and floating sums no longer change between uses), column pruning
+    and true sizes, and a lost executor costs a re-read instead of a re-computation.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
