@@ -95,11 +95,14 @@ def group_quantile(df: DataFrame, keys: Sequence[str], value: str, q: str, out:
     low, high = max(0.0, float(share) - eps), min(1.0, float(share) + eps)
     known = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     rank = F.ceil(F.lit(share) * F.col("_n").cast("decimal(20,0)")).cast("bigint")
-    # percentile_approx is off by at most 1/accuracy in rank, so the bracket holds the answer
+    # percentile_approx is off by at most 1/accuracy in rank, so the bracket holds the answer; the slack
+    # covers long integers, which the sketch keeps as doubles
+    b = F.col("_b").cast("array<double>")
+    ends = [(b[0] - F.abs(b[0]) * 1e-12).alias("_lo"), (b[1] + F.abs(b[1]) * 1e-12).alias("_hi")]
     bracket = (
         known.groupBy(*keys)
         .agg(F.percentile_approx("_v", F.array(F.lit(low), F.lit(high)), F.lit(accuracy)).alias("_b"), F.count("*").alias("_n"))
-        .select(*keys, F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), F.greatest(rank, F.lit(1)).alias("_rank"))
+        .select(*keys, *ends, F.greatest(rank, F.lit(1)).alias("_rank"))
     )
     from .joins import sized_join
 

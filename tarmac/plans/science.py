@@ -155,7 +155,7 @@ _FRAME = {
         WINDOW back AS (PARTITION BY aircraft_msn ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                ahead AS (PARTITION BY aircraft_msn ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
     "worked": "SELECT DISTINCT aircraft_msn, component_id, CAST(event_timestamp AS DATE) AS d FROM maint",
-    "failed": """SELECT DISTINCT aircraft_msn, component_id, CAST(CAST(event_timestamp AS DATE) - k AS DATE) AS date FROM maint, generate_series(1, 7) g(k)
+    "failed": """SELECT DISTINCT aircraft_msn, component_id, CAST(CAST(event_timestamp AS DATE) - CAST(k AS INTEGER) AS DATE) AS date FROM maint, generate_series(1, 7) g(k)
         WHERE event_type = 'FAILURE' AND NOT is_scheduled""",
     "raised": """SELECT aircraft_msn, component_id, CAST(event_timestamp AS DATE) AS date, COUNT(*) AS n, COUNT(*) FILTER (WHERE severity = 'CRITICAL') AS c
         FROM alerts GROUP BY ALL""",
@@ -310,7 +310,7 @@ def _labelled(f):
 @query("tx_tfidf_lr_fast")
 def _(f):
     rows = tr.stratified_split(_labelled(f), "toxicity", ["doc_id"])
-    model = tm.fit_fast(rows.filter("is_train"), max_iter=100)
+    model = tm.fit_fast(rows.filter("is_train"), max_iter=50)
     return tm.scores(model, rows).select("doc_id", "toxicity", "is_train", "toxicity_score")
 
 
@@ -318,7 +318,7 @@ def _(f):
 def _(f):
     rows = tr.stratified_split(_labelled(f), "toxicity", ["doc_id"])
     train = rows.filter("is_train")
-    context = tm.scores(tm.fit_context(train, max_iter=100), rows, "context_score").select("doc_id", "toxicity", "is_train", "context_score")
+    context = tm.scores(tm.fit_context(train, max_iter=50), rows, "context_score").select("doc_id", "toxicity", "is_train", "context_score")
     hashed = tm.scores(tm.fit_hashed(train), rows, "hashed_score").select("doc_id", "hashed_score")
     return context.join(hashed, "doc_id")
 

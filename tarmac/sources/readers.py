@@ -53,10 +53,13 @@ def route_by_columns(keys: Column, file_name: Column) -> Column:
 
 
 def read_routed(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """JSON lines of mixed content as ``(route, value)``, read once; parse each route with its own schema."""
+    """JSON lines of mixed content as ``(route, value)``, read once; parse each route with its own schema.
+
+    The name a record is judged by includes the folder of its file, as Spark writes one dump as a folder.
+    """
     lines = spark.read.text(path)
     keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    name = F.regexp_extract(F.input_file_name(), "([^/]*/[^/]*)$", 1)
     return lines.select(route_by_columns(keys, name).alias("route"), "value")
 
 
