@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import sized_join
-
 
 def clean_samples(df: DataFrame, features: Sequence[str], positive: Sequence[str] = ()) -> DataFrame:
     """Drop samples with a missing feature or a non-positive reading where it must be positive."""
@@ -35,4 +33,4 @@ def differs_or_null(c: str, value: object) -> Column:
 
 def with_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is in a key table."""
-    return sized_join(df, keys.select(*on).distinct(), on, "left_semi")
+    return df.join(keys.select(*on).distinct(), list(on), "left_semi")

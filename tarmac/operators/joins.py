@@ -1,8 +1,9 @@
 """Joins: dimensions, calendars, intervals, as-of and look-ahead.
 
 Two rules hold throughout. Facts are aggregated to the join key before a join wherever the result allows
-it, so a key with very many rows arrives as one row. A side is broadcast only after its row count was
-checked; beyond the bound the join shuffles and adaptive execution splits skewed partitions.
+it, so a key with very many rows arrives as one row. A side is broadcast only below a checked size: for
+plain tables the planner knows it, derived tables are stored and counted first. Beyond the bound the join
+shuffles and adaptive execution splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -13,19 +14,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
+from ..session import materialise
+
+BROADCAST_ROWS = 200_000
 
 
 def sized_join(facts: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a side that may be small: counted up to the bound, broadcast below it, shuffled above."""
+    """Join facts with a table derived from them (statistics, sizes, limits), which may or may not be small.
+
+    The derived side is stored, so it is computed once, and counted. Up to ``max_rows`` it is broadcast and the
+    facts stay where they are; above, both are shuffled and a hot key is split by its size.
+    """
+    side = materialise(side, "side")
     small = side.limit(max_rows + 1).count() <= max_rows
     return facts.join(F.broadcast(side) if small else side, list(on), how)
 
 
 def join_dimensions(events: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], how: str = "inner") -> DataFrame:
-    """Join each dimension in turn on its own key columns."""
+    """Join each dimension table in turn on its own key columns; the planner broadcasts it if its files are small."""
     for dim, on in dims:
-        events = sized_join(events, dim, on, how)
+        events = events.join(dim, list(on), how)
     return events
 
 
@@ -36,22 +44,13 @@ def join_aggregates(base: DataFrame, parts: Sequence[DataFrame], on: Sequence[st
     return base.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero}) if zero else base
 
 
-def calendar(first: Column, last: Column, df: DataFrame, name: str = "date") -> DataFrame:
-    """One row per day between two aggregate expressions over ``df``."""
-    return df.agg(first.alias("_a"), last.alias("_b")).select(F.explode(F.sequence("_a", "_b")).alias(name))
-
-
 def cross_calendar(entities: DataFrame, first: Column, last: Column, span: DataFrame, name: str = "date") -> DataFrame:
     """Every entity on every day between the first and last day of ``span``.
 
-    The span is one row; each entity row generates its own days, so no join partition grows with the calendar.
+    The two ends are scalar subqueries and each entity row generates its own days: nothing is joined or shuffled.
     """
-    ends = span.agg(first.alias("_a"), last.alias("_b"))
-    return (
-        entities.join(F.broadcast(ends), how="cross")
-        .withColumn(name, F.explode(F.sequence("_a", "_b")))
-        .drop("_a", "_b")
-    )
+    ends = [span.agg(c.alias("_e")).scalar() for c in (first, last)]
+    return entities.withColumn(name, F.explode(F.sequence(*ends)))
 
 
 def interval_totals(

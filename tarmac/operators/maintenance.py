@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import whole_days
 from ..functions.numeric import count_where, ladder, safe_ratio
 from .aggregates import alert_counts
-from .joins import interval_totals, join_aggregates, sized_join
+from .joins import interval_totals, join_aggregates
 from .reliability import failure_condition
 from .windows import day_intervals, event_intervals
 
@@ -90,7 +90,7 @@ def interval_history(maintenance: DataFrame, components: DataFrame, aircraft: Da
     """Intervals between any two consecutive events of a part, with totals of the part and a risk per day."""
     raw = event_intervals(maintenance, PART, "event_timestamp", ["event_type", "is_scheduled"])
     info = components.select("component_id", "component_type", "manufacturer", "recommended_maintenance_interval")
-    dims = sized_join(sized_join(raw, info, ["component_id"], "inner"), aircraft.select("aircraft_msn", "airline_code"), ["aircraft_msn"], "inner")
+    dims = raw.join(info, "component_id").join(aircraft.select("aircraft_msn", "airline_code"), "aircraft_msn")
     failed = maintenance.filter(failure_condition("unscheduled_failure")).groupBy(*PART).agg(F.count("*").alias("unscheduled_failures"))
     raised = alert_counts(alerts).select(*PART, "total_alerts", "critical_alerts")
     joined = join_aggregates(dims, [raised, failed], PART, ["total_alerts", "critical_alerts", "unscheduled_failures"])

@@ -67,7 +67,7 @@ def event_intervals(events: DataFrame, keys: Sequence[str], ts: str, carry: Sequ
 
 
 def fill_gaps(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
-    """Last known value, else the next known one, else zero, within the entity."""
+    """Last known value, else the next known one, else zero, within the entity; for tables of one row per entity and day."""
     back = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     ahead = W.partitionBy(*keys).orderBy(order).rowsBetween(0, W.unboundedFollowing)
     return df.withColumns(
@@ -106,7 +106,7 @@ def group_quantile(df: DataFrame, keys: Sequence[str], value: str, q: str, out:
     )
     from .joins import sized_join
 
-    near = sized_join(known, bracket, keys, "inner") if keys else known.join(F.broadcast(bracket), how="cross")
+    near = sized_join(known, bracket, keys, "inner")
     width = (F.col("_hi") - F.col("_lo")) / 64
     sub = F.when(F.col("_v") < F.col("_lo"), F.lit(-1)).when(width > 0, F.floor((F.col("_v") - F.col("_lo")) / width)).otherwise(F.lit(0))
     cells = (

@@ -15,7 +15,7 @@ PART = ["aircraft_msn", "component_id"]
 @query("join_enrich_left", f"""SELECT f.aircraft_msn, f.flight_id, {RA('f.engine_1_temp', 'engine_1_temp')}, a.airline_code, a.status
     FROM flights f LEFT JOIN aircraft a ON a.aircraft_msn = f.aircraft_msn""")
 def _(f):
-    return jn.sized_join(f.flights, f.aircraft, ["aircraft_msn"], "left").select("aircraft_msn", "flight_id", "engine_1_temp", "airline_code", "status")
+    return jn.join_dimensions(f.flights, [(f.aircraft, ["aircraft_msn"])], "left").select("aircraft_msn", "flight_id", "engine_1_temp", "airline_code", "status")
 
 
 @query("join_dims_inner", f"""SELECT m.aircraft_msn, m.component_id, {S('m.event_timestamp', 'event_timestamp')}, m.event_type, m.is_scheduled,
@@ -91,7 +91,7 @@ def _(f):
     WHERE aircraft_msn IN (SELECT aircraft_msn FROM aircraft WHERE airline_code IN (3, 7, 11)) GROUP BY date""")
 def _(f):
     owned = f.aircraft.filter(F.col("airline_code").isin(3, 7, 11)).select("aircraft_msn")
-    return jn.sized_join(f.usage, owned, ["aircraft_msn"], "left_semi").groupBy("date").agg(F.sum("flight_hours").alias("hours"))
+    return f.usage.join(owned, "aircraft_msn", "left_semi").groupBy("date").agg(F.sum("flight_hours").alias("hours"))
 
 
 @query("join_semi_limit", f"""SELECT aircraft_msn, flight_id, {S('event_timestamp', 'event_timestamp')}, {RA('engine_1_temp', 'engine_1_temp')} FROM flights

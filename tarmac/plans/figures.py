@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions import numeric as num
 from ..operators import aggregates as ag
-from ..operators import joins as jn
 from ..operators import maintenance as mnt
 from ..operators import performance as pf
 from ..operators import reliability as rel
@@ -447,7 +446,7 @@ def _(f):
     UNION ALL SELECT 'takeoffs', {S('CAST(date AS TIMESTAMP)')}, 'all', CAST(SUM(takeoffs) AS DOUBLE) FROM usage GROUP BY date""")
 def _(f):
     day, stamp = F.col("date").cast("timestamp"), F.col("calculation_timestamp")
-    hours = jn.sized_join(f.usage, f.aircraft, ["aircraft_msn"], "inner")
+    hours = f.usage.join(f.aircraft, "aircraft_msn")
     charts = {
         "hours": ag.timeseries(hours, day, F.col("airline_code").cast("string"), F.avg("flight_hours")),
         "anomalies": ag.timeseries(f.anomalies, F.date_trunc("day", "detection_timestamp"), F.col("detection_method"), F.count("*").cast("double")),
@@ -480,8 +479,8 @@ def _(f):
 @query("agg_scalar_kpis", f"""SELECT {RA('AVG(mtbf_hours)', 'mean_mtbf')}, {RA('AVG(failure_rate_per_1000_hours)', 'mean_rate')}, COUNT(*) AS n
     FROM rel_hist WHERE component_type = (SELECT MIN(component_type) FROM components)""")
 def _(f):
-    first = f.components.agg(F.min("component_type").alias("component_type"))
-    return jn.sized_join(f.rel_hist, first, ["component_type"], "left_semi").agg(
+    first = f.components.agg(F.min("component_type")).scalar()
+    return f.rel_hist.filter(F.col("component_type") == first).agg(
         F.avg("mtbf_hours").alias("mean_mtbf"), F.avg("failure_rate_per_1000_hours").alias("mean_rate"), F.count("*").alias("n")
     )
 
@@ -528,5 +527,5 @@ def _(f):
         F.concat_ws("-", "conv_id", "turn").alias("id"), (F.col("conv_id") * 1000 + F.col("turn")).alias("n"), decision.alias("decision")
     )
     newest = history.orderBy(F.desc("n")).limit(10).agg(F.reverse(F.array_sort(F.collect_list(F.struct("n", "id")))).alias("a"))
-    latest = newest.select(F.array_join(F.transform("a", lambda s: s.id), ",").alias("latest"))
-    return ag.decision_stats(history).join(F.broadcast(latest), how="cross")
+    latest = newest.select(F.array_join(F.transform("a", lambda s: s.id), ","))
+    return ag.decision_stats(history).withColumn("latest", latest.scalar())

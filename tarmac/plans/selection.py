@@ -8,7 +8,6 @@ from ..functions import calendar as cal
 from ..functions import numeric as num
 from ..functions import text as tx
 from ..operators import filters, paging
-from ..operators import joins as jn
 from .registry import R, RA, S, query
 
 AS_OF = "2000-06-30"
@@ -285,6 +284,6 @@ def _(f):
     ON c.component_id = m.component_id""")
 def _(f):
     pairs = f.maint.select("aircraft_msn", "component_id").dropDuplicates(["aircraft_msn", "component_id"])
-    return jn.sized_join(pairs, f.components.select("component_id", "component_type", "manufacturer"), ["component_id"], "inner")
+    return pairs.join(f.components.select("component_id", "component_type", "manufacturer"), "component_id")
 
 
