@@ -153,7 +153,7 @@ def split_before_after(
     from .windows import running_totals
 
     parts = metrics.groupBy(key, F.col(ts).alias("_t"), *by).agg(
-        *[F.sum(v).alias(f"_s_{v}") for v in values], *[F.count(v).alias(f"_n_{v}") for v in values]
+        *[F.sum(v).alias(f"_s_{v}") for v in values], *[F.count(v).alias(f"_n_{v}") for v in values], F.count("*").alias("_rows")
     )
     counted = changes.groupBy(key, F.col(change_ts).alias("_t")).agg(F.count("*").alias("_c"))
     cells = parts.unionByName(counted, allowMissingColumns=True).withColumn("_c", F.coalesce("_c", F.lit(0)))
@@ -168,6 +168,6 @@ def split_before_after(
     return run.groupBy(*by).agg(
         *[mean(v, before).alias(f"{v}_before") for v in values],
         *[mean(v, after).alias(f"{v}_after") for v in values],
-        F.sum(before).alias("pairs_before"),
-        F.sum(after).alias("pairs_after"),
+        F.sum(before * F.col("_rows")).alias("pairs_before"),
+        F.sum(after * F.col("_rows")).alias("pairs_after"),
     )

@@ -120,7 +120,7 @@ def _raw_lines(f):
     c = f.table("conversations")
     message = F.struct(
         F.concat_ws("-", "conv_id", "turn").alias("message_id"), F.col("role").alias("sender_id"), F.col("text").alias("content"),
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("timestamp"), F.lit("g1").alias("game_id"), F.concat(F.lit("c"), "conv_id").alias("channel_id"),
+        (F.lit(CLOCK) + F.col("conv_id") * 1000 + F.col("turn")).alias("timestamp"), F.lit("g1").alias("game_id"), F.concat(F.lit("c"), "conv_id").alias("channel_id"),
         F.array(F.lit("r")).alias("recipients"),
         F.when(F.col("role") != "system", F.create_map(F.lit("r"), F.col("role") == "user")).alias("is_friends"),
         F.struct(F.lit("fps").alias("game_type"), F.lit(3).alias("sender_level"), F.when(F.col("role") == "assistant", "ranked").alias("game_context")).alias("metadata"),
@@ -217,8 +217,8 @@ def _(f):
     return joined.select("topic", "key", F.col("toxicity_score").alias("score"), "uncertainty", "decision")
 
 
-@query("st_moderation_queue", """SELECT conv_id || '-' || turn AS message_id, conv_id * 1000 + turn AS arrival FROM conversations WHERE conv_id % 11 <> 10
-    ORDER BY arrival DESC, message_id DESC LIMIT 100""")
+@query("st_moderation_queue", """SELECT conv_id || '-' || turn AS message_id, 1700000000000 + conv_id * 1000 + turn AS arrival FROM conversations
+    WHERE conv_id % 11 <> 10 ORDER BY arrival DESC, message_id DESC LIMIT 100""")
 def _(f):
     parsed = mod.parse_messages(_message_stream(f, copies=2)).filter("error IS NULL")
     timed = parsed.select("message_id", F.col("timestamp").alias("arrival"), F.timestamp_millis("timestamp").alias("sent"))

@@ -34,6 +34,10 @@ def local_session(cpus: int = 8, **extra: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.showConsoleProgress", "false")
+        # a few megabytes per stage would otherwise end up in one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
+        # test facts are smaller than the default threshold and must not be taken for a dimension
+        .config("spark.sql.autoBroadcastJoinThreshold", "1MB")
     )
     for key, value in {**RUNTIME_CONF, **extra}.items():
         builder = builder.config(key, value)

@@ -89,7 +89,7 @@ def read_jdbc(
 
 
 def day_predicates(column: str, days: Sequence[date]) -> list[str]:
-    """One half-open predicate per day boundary pair, plus none left out between first and last."""
+    """One half-open range per pair of neighbouring days; rows before the first and from the last on are not read."""
     return [f"{column} >= '{a}' AND {column} < '{b}'" for a, b in zip(days, days[1:])]
 
 
