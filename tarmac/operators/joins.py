@@ -15,19 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialise
-
-BROADCAST_ROWS = 200_000
-
-
-def sized_join(facts: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join facts with a table derived from them (statistics, sizes, limits), which may or may not be small.
-
-    The derived side is stored, so it is computed once, and counted. Up to ``max_rows`` it is broadcast and the
-    facts stay where they are; above, both are shuffled and a hot key is split by its size.
-    """
-    side = materialise(side, "side")
-    small = side.limit(max_rows + 1).count() <= max_rows
-    return facts.join(F.broadcast(side) if small else side, list(on), how)
+from .windows import running_totals
 
 
 def join_dimensions(events: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], how: str = "inner") -> DataFrame:
@@ -68,8 +56,10 @@ def interval_totals(
     No interval meets a fact in a join. Facts are summed per entity and day, one running total per entity
     gives the value up to any day, and an interval is the difference at its two ends. Work is linear in facts
     plus intervals, whatever the interval length, and an entity's window holds one row per day at most.
+    Intervals and running totals are looked at twice, so both are stored.
     """
     keys, names = list(keys), list(sums)
+    intervals = materialise(intervals, "intervals")
     daily = facts.groupBy(*keys, F.col(day).alias("_d")).agg(
         *[F.coalesce(c, F.lit(0)).alias(n) for n, c in sums.items()], F.count("*").alias("_n")
     )
@@ -79,9 +69,12 @@ def interval_totals(
         *[F.sum(n).alias(n) for n in [*names, "_n"]]
     )
     upto = W.partitionBy(*keys).orderBy("_d").rowsBetween(W.unboundedPreceding, 0)
-    running = points.select(
-        *keys, "_d", F.struct(*[F.col(n) for n in [*names, "_n"]]).alias("own"),
-        F.struct(*[F.sum(n).over(upto).alias(n) for n in [*names, "_n"]]).alias("upto"),
+    running = materialise(
+        points.select(
+            *keys, "_d", F.struct(*[F.col(n) for n in [*names, "_n"]]).alias("own"),
+            F.struct(*[F.sum(n).over(upto).alias(n) for n in [*names, "_n"]]).alias("upto"),
+        ),
+        "running",
     )
     at_end = running.select(*keys, F.col("_d").alias(end), F.col("upto").alias("_e"))
     at_start = running.select(*keys, F.col("_d").alias(start), F.col("upto").alias("_s"), F.col("own").alias("_o"))
@@ -150,14 +143,12 @@ def split_before_after(
     Pairs are not formed: a metric row counts once per later change (before) and once per change up to it
     (after), and both counts come from one running count over the key's change and metric times.
     """
-    from .windows import running_totals
-
     parts = metrics.groupBy(key, F.col(ts).alias("_t"), *by).agg(
         *[F.sum(v).alias(f"_s_{v}") for v in values], *[F.count(v).alias(f"_n_{v}") for v in values], F.count("*").alias("_rows")
     )
     counted = changes.groupBy(key, F.col(change_ts).alias("_t")).agg(F.count("*").alias("_c"))
-    cells = parts.unionByName(counted, allowMissingColumns=True).withColumn("_c", F.coalesce("_c", F.lit(0)))
-    totals = changes.groupBy(key).agg(F.count("*").alias("_all"))
+    cells = materialise(parts.unionByName(counted, allowMissingColumns=True).withColumn("_c", F.coalesce("_c", F.lit(0))), "cells")
+    totals = cells.groupBy(key).agg(F.sum("_c").alias("_all")).filter("_all > 0")
     run = running_totals(cells, [key], "_t", {"_upto": F.col("_c")}).filter(F.col("_c") == 0).join(totals, key)
     before, after = F.col("_all") - F.col("_upto"), F.col("_upto")
 

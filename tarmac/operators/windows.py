@@ -13,12 +13,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.calendar import whole_days
+from ..session import materialise
+from .sizing import sized_join
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], ts: str, sums: Mapping[str, Column], slice_unit: str = "day") -> DataFrame:
     """Running sums per key in time order, ties included, over rows that may all share one key.
 
-    The order is taken inside time slices; slice totals, one row each, carry the sum from slice to slice.
+    The order is taken inside time slices; slice totals, one row each, carry the sum from slice to slice. The
+    input is read twice: store it first if it is costly.
     """
     keys, names = list(keys), list(sums)
     cut = df.withColumns({n: c for n, c in sums.items()}).withColumn("_slice", F.date_trunc(slice_unit, ts))
@@ -104,18 +107,17 @@ def group_quantile(df: DataFrame, keys: Sequence[str], value: str, q: str, out:
         .agg(F.percentile_approx("_v", F.array(F.lit(low), F.lit(high)), F.lit(accuracy)).alias("_b"), F.count("*").alias("_n"))
         .select(*keys, *ends, F.greatest(rank, F.lit(1)).alias("_rank"))
     )
-    from .joins import sized_join
-
     near = sized_join(known, bracket, keys, "inner")
     width = (F.col("_hi") - F.col("_lo")) / 64
     sub = F.when(F.col("_v") < F.col("_lo"), F.lit(-1)).when(width > 0, F.floor((F.col("_v") - F.col("_lo")) / width)).otherwise(F.lit(0))
-    cells = (
+    cells = materialise(
         near.filter(F.col("_v") <= F.col("_hi"))
         .withColumn("_sub", sub.cast("bigint"))
         # below the bracket one cell per group is enough
         .withColumn("_v", F.when(F.col("_sub") >= 0, F.col("_v")))
         .groupBy(*keys, "_sub", "_v", "_rank")
-        .agg(F.count("*").alias("_c"))
+        .agg(F.count("*").alias("_c")),
+        "cells",
     )
     subs = cells.groupBy(*keys, "_sub", "_rank").agg(F.sum("_c").alias("_c"))
     upto = W.partitionBy(*keys).orderBy("_sub").rowsBetween(W.unboundedPreceding, 0)
