@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with a costly value computed once per row, however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def safe_ratio(num: Column | str, den: Column | str, guard: str = "null") -> Column:
     """``num / den`` under one of three guards.
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .numeric import col
+from .numeric import col, let
 
 # The default word list, its reduced form, thresholds and decision names.
 TOXIC_WORDS = (
@@ -42,10 +42,13 @@ def lexicon_score(text: Column | str, lexicon: Sequence[str] = TOXIC_WORDS, stri
     cleaned = clean_text(text)
     if strip_punct:
         cleaned = F.regexp_replace(cleaned, r"[!?.,]", " ")
-    tokens = words(cleaned)
-    n = F.size(tokens)
-    share = lexicon_hits(tokens, lexicon) / n * F.lit(SCORE_FACTOR)
-    return F.when(n > 0, F.least(F.lit(1.0), share)).otherwise(F.lit(0.0))
+
+    def score(tokens: Column) -> Column:
+        n = F.size(tokens)
+        share = lexicon_hits(tokens, lexicon) / n * F.lit(SCORE_FACTOR)
+        return F.when(n > 0, F.least(F.lit(1.0), share)).otherwise(F.lit(0.0))
+
+    return let(words(cleaned), score)
 
 
 def lexicon_uncertainty(score: Column | str) -> Column:

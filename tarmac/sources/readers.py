@@ -57,10 +57,10 @@ def read_routed(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     The name a record is judged by includes the folder of its file, as Spark writes one dump as a folder.
     """
-    lines = spark.read.text(path)
     keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
     name = F.regexp_extract(F.input_file_name(), "([^/]*/[^/]*)$", 1)
-    return lines.select(route_by_columns(keys, name).alias("route"), "value")
+    lines = spark.read.text(path).withColumns({"_keys": keys, "_name": name})
+    return lines.select(route_by_columns(F.col("_keys"), F.col("_name")).alias("route"), "value")
 
 
 def read_jdbc(

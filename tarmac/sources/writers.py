@@ -11,26 +11,16 @@ from pyspark.sql import functions as F
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite; with partition columns only the partitions present in ``df`` are replaced, so a day can be re-run.
 
-    Rows are laid out by partition value plus a hash of the row: a large partition is written by many
-    tasks, and no task holds a file open for every partition.
+    Rows are gathered by partition value and rebalanced: a small partition becomes one file, a large one is
+    split by size over many tasks.
     """
     writer = df.write.mode("overwrite")
     if partition_by:
-        spread = F.pmod(F.xxhash64(*_hashable(df)), F.lit(16))
-        writer = (
-            df.repartition(*partition_by, spread)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-        )
+        balanced = df.hint("rebalance", *partition_by)
+        writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
 
 
-def _hashable(df: DataFrame) -> list[Column]:
-    """Columns that can enter a row hash (maps cannot)."""
-    return [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
