@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import let
+
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Headered CSV under an explicit schema; the header names are checked against it."""
@@ -58,9 +60,8 @@ def read_routed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     The name a record is judged by includes the folder of its file, as Spark writes one dump as a folder.
     """
     keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
-    name = F.regexp_extract(F.input_file_name(), "([^/]*/[^/]*)$", 1)
-    lines = spark.read.text(path).withColumns({"_keys": keys, "_name": name})
-    return lines.select(route_by_columns(F.col("_keys"), F.col("_name")).alias("route"), "value")
+    name = F.substring_index(F.input_file_name(), "/", -2)
+    return spark.read.text(path).select(let(keys, lambda k: route_by_columns(k, name)).alias("route"), "value")
 
 
 def read_jdbc(
