@@ -212,9 +212,8 @@ _DEEP_HOP = {
 def _(f):
     _, topic = _fast_hop(f)
     stored, _ = _deep_hop(f, topic)
-    v = _read(stored, schemas.ANALYSED).select("deep_analysis.*", "message_id")
-    joined = stored.select("topic", "key").join(v, F.col("key") == F.col("message_id"))
-    return joined.select("topic", "key", F.col("toxicity_score").alias("score"), "uncertainty", "decision")
+    verdicts = stored.select("topic", "key", F.from_json("value", schemas.ANALYSED).alias("m")).select("topic", "key", "m.deep_analysis.*")
+    return verdicts.select("topic", "key", F.col("toxicity_score").alias("score"), "uncertainty", "decision")
 
 
 @query("st_moderation_queue", """SELECT conv_id || '-' || turn AS message_id, 1700000000000 + conv_id * 1000 + turn AS arrival FROM conversations

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tarmac.functions.calendar import on_day
 from tarmac.operators import joins, windows
 from tarmac.plans.views import Fleet
+from tarmac.session import materialise
 from tarmac.sources import readers, writers
 
 FOLDER = "/root/testdata/sf0.001"
@@ -60,6 +61,12 @@ def test_day_folder_is_pruned(spark, tmp_path):
     assert {r.id for r in day.collect()} == {i for i in range(60) if i % 3 == 1 and i % 5 == 1}
 
 
+def test_stored_stages_lie_in_the_shared_folder(spark):
+    stored = materialise(spark.range(5).withColumn("x", F.rand(1)))
+    assert stored.inputFiles()[0].split("://")[-1].lstrip("/").startswith(spark.conf.get("spark.checkpoint.dir").lstrip("/"))
+    assert stored.collect() == stored.collect()
+
+
 def test_library_keeps_rows_on_the_cluster():
     for path in LIBRARY.rglob("*.py"):
         text = path.read_text()
