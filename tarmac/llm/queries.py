@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, secrets
+from . import langid, neardup, quality, secrets
 from .common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,9 @@ def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     model = langid.train(docs.where(fold_of("doc_id", 5) != 0))
     found = langid.identify(docs, model)
     return found.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", F.size("langs").cast("long").alias("n_langs"))
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate components of all documents at a Jaccard similarity of 0.85."""
+    return neardup.near_duplicates(table(spark, folder, "documents"))
