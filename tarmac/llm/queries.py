@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, neardup, quality, secrets
+from . import chat, langid, neardup, packing, quality, secrets, urlrules
 from .common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,21 @@ def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents at a Jaccard similarity of 0.85."""
     return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts for the URLs of all pages."""
+    return urlrules.judge(table(spark, folder, "pages"))
+
+
+@query
+def op5_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in batches of similar length."""
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query
+def op9_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations formatted in windows, and read back from them."""
+    return chat.read_back(chat.windows(chat.control_conversation(table(spark, folder, "conversations"))))
