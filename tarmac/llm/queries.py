@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, neardup, packing, quality, secrets, urlrules
+from . import chat, decontam, langid, neardup, packing, quality, secrets, urlrules
 from .common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,9 @@ def op5_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
 def op9_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations formatted in windows, and read back from them."""
     return chat.read_back(chat.windows(chat.control_conversation(table(spark, folder, "conversations"))))
+
+
+@query
+def op6_benchmark_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages found in all documents."""
+    return decontam.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
