@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, neardup, packing, quality, secrets, urlrules
+from . import chat, decontam, langid, neardup, packing, quality, secrets, toxicity, urlrules
 from .common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,12 @@ def op9_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
 def op6_benchmark_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark passages found in all documents."""
     return decontam.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op7_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learned from two folds of three."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels").where(fold_of("doc_id", 3) != 1))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
