@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, neardup, packing, quality, secrets, toxicity, urlrules
+from . import chat, decontam, langid, lm, neardup, packing, quality, secrets, toxicity, urlrules
 from .common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,10 @@ def op7_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, folder, "labels").where(fold_of("doc_id", 3) != 1))
     found = toxicity.score(docs, model)
     return found.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op2_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probabilities of all documents under a model of four folds of five."""
+    docs = table(spark, folder, "documents")
+    return lm.score_texts(docs, fold_of("doc_id", 5) == 1)
