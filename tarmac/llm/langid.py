@@ -19,11 +19,9 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 
 
 def grams(text: bytes, size: int) -> np.ndarray:
-    """The slot of each run of ``size`` bytes; runs of blanks count as one, and a blank frames the text."""
+    """The slot of each run of ``size`` bytes; runs of blanks count as one, and blanks frame and fill up the text."""
     folded = b" " + b" ".join(text.translate(_FOLD).split()) + b" "
-    b = np.frombuffer(folded, np.uint8).astype(np.uint32)
-    if len(b) < size:
-        return np.zeros(0, np.int64)
+    b = np.frombuffer(folded.ljust(size), np.uint8).astype(np.uint32)
     code = np.zeros(len(b) - size + 1, np.uint32)
     for i in range(size):
         code = code * np.uint32(257) + b[i : len(b) - size + 1 + i]
