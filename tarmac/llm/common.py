@@ -49,7 +49,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Remembers the 64-bit hash of each word; emptied when it has grown large."""
 
-    LARGEST = 400_000
+    LARGEST = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

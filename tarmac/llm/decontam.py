@@ -152,7 +152,8 @@ def finder(shared: Broadcast, percent: int) -> Callable[[Column], Column]:
         memory = WordHashes()
         return pa.array([shared.value.search(t, memory, percent) for t in text_bytes(text)], type=FOUND)
 
-    return found
+    # counts as non-deterministic so that no filter inferred from its result evaluates it a second time
+    return found.asNondeterministic()
 
 
 def matches(
