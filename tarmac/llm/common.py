@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,9 +31,9 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
-    """UTF-8 bytes of a string column; nulls become empty."""
-    return [x or b"" for x in as_bytes(column)]
+def text_bytes(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
+    """UTF-8 bytes of a string column, one text at a time; nulls become empty."""
+    return (x.as_py() or b"" for x in column.cast(pa.binary()))
 
 
 def words(text: bytes, lower: bool = True) -> list[bytes]:
