@@ -64,31 +64,44 @@ def _(f):
     return flagged.select("aircraft_msn", "flight_id", "event_timestamp", "detection_method", "cluster", "distance_to_center")
 
 
+def _shares(found, method):
+    """Scored rows of each aircraft, and whether close to one in twenty is flagged."""
+    share = F.count_if("is_anomaly") / F.count("*")
+    return found.groupBy("aircraft_msn").agg(F.lit(method).alias("method"), F.count_if(F.col("is_anomaly").isNotNull()).alias("scored"), share.between(0.03, 0.07).alias("one_in_twenty"))
+
+
+@query("ml_outlier_shares", """SELECT aircraft_msn, method, COUNT(*) AS scored, TRUE AS one_in_twenty
+    FROM flights, (VALUES ('ISOLATION_FOREST'), ('K_MEANS')) m(method) GROUP BY ALL""")
+def _(f):
+    rows = f.flights.select(*ROW, *[c for c in FEATURES if c not in ROW])
+    trees = forest.isolation_outliers(rows, rows, "aircraft_msn", FEATURES)
+    return _shares(trees, "ISOLATION_FOREST").unionByName(_shares(clusters.kmeans_outliers(rows, "aircraft_msn", FEATURES), "K_MEANS"))
+
+
 @query("ml_isolation_forest")
 def _(f):
     rows = f.flights.select(*ROW, *[c for c in FEATURES if c not in ROW])
-    found = forest.isolation_outliers(rows, rows, "aircraft_msn", FEATURES, [*ROW, *FEATURES]).filter("is_anomaly")
+    found = forest.isolation_outliers(rows, rows, "aircraft_msn", FEATURES).filter("is_anomaly")
     return found.select("aircraft_msn", "flight_id", "event_timestamp", "anomaly_score", "confidence_score")
 
 
-_EPS, _MIN = 0.12, 5
+_EPS, _MIN, _AXES = 0.5, 5, [f"z_{c}" for c in FEATURES]
+_NEAR = " + ".join(f"(p.{z} - q.{z}) * (p.{z} - q.{z})" for z in _AXES) + f" <= {_EPS * _EPS!r}"
 _DENSITY = {
     "moments": _MOMENTS,
-    "scaled": f"SELECT s.aircraft_msn, s.flight_id, s.engine_1_temp, s.fuel_flow_rate, {_z('engine_1_temp', 's')} AS a, {_z('fuel_flow_rate', 's')} AS b "
-    "FROM flights s JOIN moments t USING (aircraft_msn)",
-    "places": "SELECT aircraft_msn, a, b, COUNT(*) AS w FROM scaled GROUP BY ALL",
-    "counted": f"""SELECT p.aircraft_msn, p.a, p.b, SUM(q.w) >= {_MIN} AS core FROM places p JOIN places q ON q.aircraft_msn = p.aircraft_msn
-        AND (p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b) <= {_EPS * _EPS!r} GROUP BY ALL""",
-    "judged": f"""SELECT p.aircraft_msn, p.a, p.b, NOT bool_or(q.core) AS is_noise FROM counted p JOIN counted q ON q.aircraft_msn = p.aircraft_msn
-        AND (p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b) <= {_EPS * _EPS!r} GROUP BY ALL""",
+    "scaled": f"SELECT s.aircraft_msn, s.flight_id, s.engine_1_temp, {', '.join(f'{_z(c, chr(115))} AS z_{c}' for c in FEATURES)} FROM flights s JOIN moments t USING (aircraft_msn)",
+    "places": f"SELECT aircraft_msn, {', '.join(_AXES)}, COUNT(*) AS w FROM scaled GROUP BY ALL",
+    "sizes": "SELECT aircraft_msn, COUNT(*) AS n FROM flights GROUP BY aircraft_msn",
+    "counted": f"SELECT p.aircraft_msn, {', '.join(f'p.{z}' for z in _AXES)}, SUM(q.w) >= {_MIN} AS core FROM places p JOIN places q ON q.aircraft_msn = p.aircraft_msn AND {_NEAR} GROUP BY ALL",
+    "judged": f"SELECT p.aircraft_msn, {', '.join(f'p.{z}' for z in _AXES)}, NOT bool_or(q.core) AS is_noise FROM counted p JOIN counted q ON q.aircraft_msn = p.aircraft_msn AND {_NEAR} GROUP BY ALL",
 }
 
 
-@query("ml_density_noise", f"""SELECT s.aircraft_msn, s.flight_id, {RA('s.engine_1_temp', 'engine_1_temp')}, j.is_noise FROM scaled s
-    JOIN judged j ON j.aircraft_msn = s.aircraft_msn AND j.a = s.a AND j.b = s.b""", _DENSITY)
+@query("ml_density_noise", f"""SELECT s.aircraft_msn, s.flight_id, {RA('s.engine_1_temp', 'engine_1_temp')}, CASE WHEN k.n >= 10 THEN j.is_noise END AS is_noise FROM scaled s JOIN sizes k ON k.aircraft_msn = s.aircraft_msn
+    JOIN judged j ON j.aircraft_msn = s.aircraft_msn AND {' AND '.join(f'j.{z} = s.{z}' for z in _AXES)}""", _DENSITY)
 def _(f):
-    scaled = an.standardise(f.flights.select("aircraft_msn", "flight_id", *TWO), ["aircraft_msn"], TWO)
-    marked = density.density_noise(scaled, ["aircraft_msn"], [f"z_{c}" for c in TWO], _EPS, _MIN)
+    scaled = an.standardise(f.flights.select("aircraft_msn", "flight_id", *FEATURES), ["aircraft_msn"], FEATURES)
+    marked = density.density_noise(scaled, ["aircraft_msn"], _AXES, _EPS, _MIN, min_rows=10)
     return marked.select("aircraft_msn", "flight_id", "engine_1_temp", "is_noise")
 
 

@@ -199,7 +199,7 @@ def test_failure_frame_matches_loops(spark):
         assert r.avg_engine_1_temp == 2.5
 
 
-@pytest.mark.parametrize("d", [1, 2, 3, 4])
+@pytest.mark.parametrize("d", [1, 2, 3, 4, 7])
 def test_density_noise_matches_brute_force(spark, d):
     rng = np.random.default_rng(d)
     parts = []
@@ -208,7 +208,7 @@ def test_density_noise_matches_brute_force(spark, d):
         parts.append(pd.DataFrame(x, columns=[f"x{i}" for i in range(d)]).assign(g=g))
     pdf = pd.concat(parts, ignore_index=True)
     pdf["row"] = range(len(pdf))
-    eps = {1: 0.15, 2: 0.4, 3: 0.7, 4: 1.0}[d]
+    eps = {1: 0.15, 2: 0.4, 3: 0.7, 4: 1.0, 7: 1.5}[d]
     expected = {}
     for _, q in pdf.groupby("g"):
         x = q[[f"x{i}" for i in range(d)]].to_numpy()
@@ -219,10 +219,10 @@ def test_density_noise_matches_brute_force(spark, d):
     assert {r.row: r.is_noise for r in out} == expected
 
 
-def test_density_refuses_many_dimensions(spark):
-    df = spark.createDataFrame([(1,) + (0.0,) * 5], "g int, a double, b double, c double, d double, e double")
-    with pytest.raises(ValueError):
-        density.density_noise(df, ["g"], list("abcde"), 1.0)
+def test_density_skips_small_groups(spark):
+    rows = [("few", float(i), float(i)) for i in range(9)] + [("many", float(i % 2), 0.0) for i in range(10)]
+    out = density.density_noise(spark.createDataFrame(rows, "g string, a double, b double"), ["g"], ["a", "b"], 0.5, 5, min_rows=10).collect()
+    assert {(r.g, r.is_noise) for r in out} == {("few", None), ("many", False)} and len(out) == 19
 
 
 def test_forest_ranks_planted_outliers_first(spark):
@@ -231,21 +231,42 @@ def test_forest_ranks_planted_outliers_first(spark):
     pdf.loc[[5, 6, 7, 8], ["a", "b", "c"]] = [9.0, -9.0, 9.0]
     history, recent = pdf[pdf.row >= 8], pdf[pdf.row < 400]
     make = lambda p: spark.createDataFrame(p)
-    out = forest.isolation_outliers(make(history), make(recent), "g", list("abc"), ["row"]).toPandas()
+    out = forest.isolation_outliers(make(history), make(recent), "g", list("abc")).toPandas()
     assert len(out) == 400
     assert set(out.sort_values("anomaly_score").head(4).row) == {5, 6, 7, 8}
-    again = forest.isolation_outliers(make(history), make(recent), "g", list("abc"), ["row"]).toPandas()
+    again = forest.isolation_outliers(make(history), make(recent), "g", list("abc")).toPandas()
     assert out.set_index("row").anomaly_score.round(9).to_dict() == again.set_index("row").anomaly_score.round(9).to_dict()
 
 
 def test_forest_scores_do_not_depend_on_chunks(spark):
     rng = np.random.default_rng(2)
     df = spark.createDataFrame(pd.DataFrame(rng.normal(size=(900, 2)), columns=list("ab")).assign(g=0, row=range(900)))
-    forests = forest.fit_forests(df, "g", ["a", "b"], ["row"], trees=20)
+    df = forest.numbered(df)
+    forests = forest.fit_forests(df, "g", ["a", "b"], trees=20)
     one, many = [forest.score_forests(df, forests, "g", ["a", "b"], n).toPandas().set_index("row").raw_score.to_dict() for n in (10_000, 100)]
     assert one == many
 
 
+def test_repeated_rows_are_all_scored(spark):
+    """A large group of three distinct points beside a small random one: no row may be lost."""
+    many = spark.range(1_000_000).selectExpr("'hot' AS g", "CAST(id % 3 AS DOUBLE) AS x", "CAST((id % 3) * 2 AS DOUBLE) AS y", "id AS row")
+    few = spark.range(500).selectExpr("'few' AS g", "rand(1) AS x", "rand(2) AS y", "id AS row")
+    df = many.unionByName(few)
+    for out, column in (
+        (clusters.kmeans_outliers(df, "g", ["x", "y"], components=2), "distance_to_center"),
+        (forest.isolation_outliers(df, df, "g", ["x", "y"], trees=10), "anomaly_score"),
+    ):
+        got = {r.g: (r.n, r.scored) for r in out.groupBy("g").agg(F.count("*").alias("n"), F.count(column).alias("scored")).collect()}
+        assert got == {"hot": (1_000_000, 1_000_000), "few": (500, 500)}
+
+
+def test_rows_without_a_model_stay(spark):
+    rows = [("a", float(i), float(i % 7), i) for i in range(200)]
+    history, recent = [spark.createDataFrame(r, "g string, x double, y double, row long") for r in (rows, rows[:5] + [("new", 1.0, 1.0, 999)])]
+    got = {r.row: r.is_anomaly for r in forest.isolation_outliers(history, recent, "g", ["x", "y"], trees=10).collect()}
+    assert len(got) == 6 and got[999] is None and None not in [got[i] for i in range(5)]
+
+
 def test_kmeans_finds_separate_groups_and_flags_a_twentieth(spark):
     rng = np.random.default_rng(7)
     centres = np.array([[0, 0, 0], [20, 0, 0], [0, 20, 0], [0, 0, 20], [20, 20, 20]])
