@@ -104,19 +104,22 @@ def _(f):
 
 # ---- streams
 
+# files of one micro-batch at most; what lands keeps the partitioning of its source
+FILES = 1000
+
 
 @query("src_stream_json", f"""SELECT event_id, event_type, {RA('value', 'value')} FROM events""")
 def _(f):
     landing, sink = scratch_path(f.spark, "lines"), scratch_path(f.spark, "sink")
     events = f.table("events").select("event_id", "event_type", "value")
-    events.repartition(4, "event_id").select(F.to_json(F.struct("*")).alias("value")).write.text(landing)
-    lines = readers.stream_lines(f.spark, landing, files_per_trigger=2)
+    events.select(F.to_json(F.struct("*")).alias("value")).write.text(landing)
+    lines = readers.stream_lines(f.spark, landing, files_per_trigger=FILES)
     parsed = lines.select(F.from_json("value", "event_id bigint, event_type string, value double").alias("m")).select("m.*")
     return writers.run_to_files(parsed, f"{sink}/out", f"{sink}/checkpoint")
 
 
 def _raw_lines(f):
-    """Conversations as JSON messages; every eleventh conversation sends one broken line per turn."""
+    """Conversations as JSON messages; every eleventh conversation sends one broken line per turn besides."""
     c = f.table("conversations")
     message = F.struct(
         F.concat_ws("-", "conv_id", "turn").alias("message_id"), F.col("role").alias("sender_id"), F.col("text").alias("content"),
@@ -126,15 +129,15 @@ def _raw_lines(f):
         F.struct(F.lit("fps").alias("game_type"), F.lit(3).alias("sender_level"), F.when(F.col("role") == "assistant", "ranked").alias("game_context")).alias("metadata"),
     )
     broken = F.concat(F.lit("{oops "), F.concat_ws("-", "conv_id", "turn"))
-    return c.select(F.when(F.col("conv_id") % 11 == 10, broken).otherwise(F.to_json(message)).alias("value"))
+    return c.select(F.to_json(message).alias("value")).unionByName(c.filter(F.col("conv_id") % 11 == 10).select(broken.alias("value")))
 
 
 def _message_stream(f, copies: int = 1):
     landing = scratch_path(f.spark, "raw-messages")
     lines = _raw_lines(f)
     for i in range(copies):
-        lines.repartition(2, "value").write.text(f"{landing}/{i}")
-    return readers.stream_lines(f.spark, f"{landing}/*", files_per_trigger=2)
+        lines.write.text(f"{landing}/{i}")
+    return readers.stream_lines(f.spark, f"{landing}/*", files_per_trigger=FILES)
 
 
 def _topics(f, df, label):
@@ -160,13 +163,9 @@ def _deep_hop(f, topic):
     return _topics(f, writers.keyed_json(analysed, "message_id", mod.deep_topic()), "deep")
 
 
-_KEPT = "CAST(split_part(message_id, '-', 1) AS BIGINT) % 11 <> 10"
-
-
-@query("st_parse_validate", """SELECT CASE WHEN conv_id % 11 <> 10 THEN conv_id || '-' || turn END AS message_id, CASE WHEN conv_id % 11 <> 10 THEN length(text) END AS n_content,
-    CASE WHEN conv_id % 11 <> 10 AND role <> 'system' THEN 1 ELSE 0 END AS n_friends, CASE WHEN conv_id % 11 = 10 THEN 'Message non parsable' END AS error,
-    CASE WHEN conv_id % 11 = 10 THEN '{oops ' || conv_id || '-' || turn END AS raw_message, CASE WHEN conv_id % 11 = 10 THEN 'ERROR' END AS decision
-    FROM conversations""")
+@query("st_parse_validate", """SELECT conv_id || '-' || turn AS message_id, length(text) AS n_content, CASE WHEN role <> 'system' THEN 1 ELSE 0 END AS n_friends,
+    CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS raw_message, CAST(NULL AS VARCHAR) AS decision FROM conversations
+    UNION ALL SELECT NULL, NULL, 0, 'Message non parsable', '{oops ' || conv_id || '-' || turn, 'ERROR' FROM conversations WHERE conv_id % 11 = 10""")
 def _(f):
     parsed = mod.classify_fast(mod.parse_messages(_message_stream(f)), mod.lexicon_scorer(LEXICON), clock=F.lit(CLOCK))
     sink = scratch_path(f.spark, "parsed")
@@ -180,7 +179,7 @@ def _(f):
 _FAST_SQL = "CASE WHEN uncertainty > 0.4 THEN 'NEEDS_ANALYSIS' WHEN score > 0.8 THEN 'TOXIC' ELSE 'OK' END"
 
 
-@query("st_fast_classify", f"SELECT message_id, {RA('score', 'score')}, CAST(uncertainty AS DOUBLE) AS uncertainty, {_FAST_SQL} AS decision FROM doubted WHERE {_KEPT}", _SCORED)
+@query("st_fast_classify", f"SELECT message_id, {RA('score', 'score')}, CAST(uncertainty AS DOUBLE) AS uncertainty, {_FAST_SQL} AS decision FROM doubted", _SCORED)
 def _(f):
     classified = mod.classify_fast(mod.parse_messages(_message_stream(f)), mod.lexicon_scorer(LEXICON), clock=F.lit(CLOCK))
     sink = scratch_path(f.spark, "classified")
@@ -192,8 +191,8 @@ def _(f):
 
 
 @query("st_route", f"""SELECT CASE WHEN {_FAST_SQL} = 'NEEDS_ANALYSIS' THEN 'nlp-analysis-required' ELSE 'classified-messages' END AS topic, message_id AS key,
-    {_FAST_SQL} AS decision FROM doubted WHERE {_KEPT}
-    UNION ALL SELECT 'classified-messages', NULL, 'ERROR' FROM messages WHERE NOT ({_KEPT})""", _SCORED)
+    {_FAST_SQL} AS decision FROM doubted
+    UNION ALL SELECT 'classified-messages', NULL, 'ERROR' FROM conversations WHERE conv_id % 11 = 10""", _SCORED)
 def _(f):
     stored, _ = _fast_hop(f)
     return stored.select("topic", "key", F.get_json_object("value", "$.classification.decision").alias("decision"))
@@ -203,7 +202,7 @@ _DEEP_HOP = {
     **{k: v for k, v in _DEEP.items()},
     "doubted": _SCORED["doubted"],
     "second": """SELECT a.message_id, a.content, a.s1, a.u3, CASE WHEN a.u3 > 0.1 THEN 'NEEDS_MODERATION' WHEN a.s1 > 0.7 THEN 'TOXIC' ELSE 'OK' END AS decision
-        FROM adjusted a JOIN doubted d ON d.message_id = a.message_id WHERE d.uncertainty > 0.4 AND CAST(split_part(a.message_id, '-', 1) AS BIGINT) % 11 <> 10""",
+        FROM adjusted a JOIN doubted d ON d.message_id = a.message_id WHERE d.uncertainty > 0.4""",
 }
 
 
@@ -217,12 +216,12 @@ def _(f):
 
 
 @query("st_moderation_queue", """SELECT conv_id || '-' || turn AS message_id, 1700000000000 + conv_id * 1000 + turn AS arrival FROM conversations
-    WHERE conv_id % 11 <> 10 ORDER BY arrival DESC, message_id DESC LIMIT 100""")
+    ORDER BY arrival DESC, message_id DESC LIMIT 100""")
 def _(f):
     parsed = mod.parse_messages(_message_stream(f, copies=2)).filter("error IS NULL")
     timed = parsed.select("message_id", F.col("timestamp").alias("arrival"), F.timestamp_millis("timestamp").alias("sent"))
     sink = scratch_path(f.spark, "queue")
-    once = writers.run_to_files(mod.distinct_messages(timed, "sent", "365 days"), f"{sink}/out", f"{sink}/checkpoint")
+    once = writers.run_to_files(mod.distinct_messages(timed, "sent", "24 hours"), f"{sink}/out", f"{sink}/checkpoint")
     return mod.queue(once, "arrival", 100).select("message_id", "arrival")
 
 
@@ -241,7 +240,7 @@ _FINAL = {
     **_DEEP_HOP,
     "final": f"""SELECT *, CASE decision WHEN 'TOXIC' THEN 'BLOCK' WHEN 'OK' THEN 'ALLOW' END AS action,
         CASE WHEN decision = 'TOXIC' OR source <> 'fast_classifier' THEN TRUE END AS training_value FROM (
-        SELECT message_id, 'fast_classifier' AS source, {_FAST_SQL} AS decision FROM doubted WHERE {_KEPT} AND {_FAST_SQL} <> 'NEEDS_ANALYSIS'
+        SELECT message_id, 'fast_classifier' AS source, {_FAST_SQL} AS decision FROM doubted WHERE {_FAST_SQL} <> 'NEEDS_ANALYSIS'
         UNION ALL SELECT message_id, 'deep_analyzer', decision FROM second WHERE decision <> 'NEEDS_MODERATION'
         UNION ALL SELECT message_id, 'human_moderator', CASE WHEN length(content) % 2 = 0 THEN 'TOXIC' ELSE 'OK' END FROM second WHERE decision = 'NEEDS_MODERATION')""",
 }
@@ -269,7 +268,7 @@ def _(f):
     return writers.run_to_files(flat, f"{sink}/out", f"{sink}/checkpoint").groupBy("source", "decision").agg(F.count("*").alias("n"))
 
 
-@query("sink_stream_keyed", f"SELECT message_id AS key, length(content) AS n_content FROM messages WHERE {_KEPT}")
+@query("sink_stream_keyed", f"SELECT message_id AS key, length(content) AS n_content FROM messages")
 def _(f):
     sink = scratch_path(f.spark, "keyed")
     parsed = mod.parse_messages(_message_stream(f)).filter("error IS NULL").drop("error", "raw_message")

@@ -111,7 +111,8 @@ def distinct_messages(messages: DataFrame, event_time: str, delay: str = "1 hour
     """First arrival of each message; a stream forgets an id once the watermark has passed it."""
     if messages.isStreaming:
         return messages.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
-    return messages.dropDuplicates([key])
+    first = messages.groupBy(key).agg(F.min_by(F.struct(*messages.columns), F.col(event_time)).alias("_first"))
+    return first.select("_first.*")
 
 
 def queue(messages: DataFrame, arrival: str, length: int = 100, key: str = "message_id") -> DataFrame:
