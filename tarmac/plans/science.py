@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import anomaly as an
-from ..operators import clusters, density, forest
+from ..operators import clusters, density, detection, forest
 from ..operators import maintenance as mnt
 from ..operators import textmodels as tm
 from ..operators import training as tr
@@ -118,7 +118,7 @@ _FLAGGED = {
 }
 
 
-@query("ml_anomaly_merge", f"""SELECT aircraft_msn, flight_id, {RA('engine_1_temp', 'engine_1_temp')}, method AS detection_method,
+@query("ml_anomaly_merge_marked", f"""SELECT aircraft_msn, flight_id, {RA('engine_1_temp', 'engine_1_temp')}, method AS detection_method,
     CAST(CASE method WHEN 'BOTH' THEN 0.95 WHEN 'ISOLATION_FOREST' THEN 0.85 ELSE 0.75 END AS DOUBLE) AS confidence_score,
     'Anomalie détectée par ' || method || ' dans ' || n || ' paramètres' AS description, n AS listed FROM
     (SELECT *, CASE WHEN forest_flag AND density_flag THEN 'BOTH' WHEN forest_flag THEN 'ISOLATION_FOREST' ELSE 'DBSCAN' END AS method FROM flagged)
@@ -131,7 +131,7 @@ def _(f):
     )
 
 
-@query("set_union_anomalies", f"""SELECT aircraft_msn, flight_id, 'ISOLATION_FOREST' AS detection_method, {RA('engine_1_temp', 'score')} FROM flagged WHERE forest_flag
+@query("set_union_marked", f"""SELECT aircraft_msn, flight_id, 'ISOLATION_FOREST' AS detection_method, {RA('engine_1_temp', 'score')} FROM flagged WHERE forest_flag
     UNION ALL SELECT aircraft_msn, flight_id, 'K_MEANS', {R('fuel_flow_rate')} FROM flagged WHERE density_flag""", _FLAGGED)
 def _(f):
     flagged = _flags(f)
@@ -141,6 +141,46 @@ def _(f):
     return an.union_detections([part("forest_flag", "ISOLATION_FOREST", "engine_1_temp"), part("density_flag", "K_MEANS", "fuel_flow_rate")])
 
 
+# the last months of the flights against all before them
+_SPLIT = "2001-01-01"
+
+
+def _history(f):
+    rows = f.flights.select(*ROW, *[c for c in FEATURES if c not in ROW])
+    return rows.filter(F.col("event_timestamp") < _SPLIT), rows.filter(F.col("event_timestamp") >= _SPLIT)
+
+
+@query("ml_anomaly_merge")
+def _(f):
+    history, recent = _history(f)
+    found = detection.detect_anomalies(history, recent, "aircraft_msn", FEATURES)
+    return found.select(
+        "aircraft_msn", "flight_id", "engine_1_temp", "detection_method", "confidence_score", "description",
+        F.json_array_length("abnormal_parameters").cast("bigint").alias("listed"),
+    )
+
+
+@query("ml_detector_cover", f"""SELECT aircraft_msn, COUNT(*) AS judged, TRUE AS most_spared FROM flights
+    WHERE event_timestamp >= DATE '{_SPLIT}' AND aircraft_msn IN (SELECT aircraft_msn FROM flights WHERE event_timestamp < DATE '{_SPLIT}' GROUP BY 1 HAVING COUNT(*) >= 100) GROUP BY ALL""")
+def _(f):
+    history, recent = _history(f)
+    fitted = detection.fit_detectors(history, "aircraft_msn", FEATURES)
+    path = scratch_path(f.spark, "detectors")
+    fitted.save(path)
+    marked = detection.detect(recent, detection.Detectors.load(f.spark, path), "aircraft_msn", FEATURES)
+    flagged = F.count_if("forest_flag") / F.count("*")
+    return marked.groupBy("aircraft_msn").agg(F.count("forest_flag").alias("judged"), (flagged < 0.5).alias("most_spared"))
+
+
+@query("set_union_anomalies")
+def _(f):
+    rows = f.flights.select(*ROW, *[c for c in FEATURES if c not in ROW])
+    trees = forest.isolation_outliers(rows, rows, "aircraft_msn", FEATURES).filter("is_anomaly")
+    means = clusters.kmeans_outliers(rows, "aircraft_msn", FEATURES).filter("is_anomaly")
+    part = lambda df, name, score: df.select("aircraft_msn", "flight_id", F.lit(name).alias("detection_method"), F.col(score).alias("score"))
+    return an.union_detections([part(trees, "ISOLATION_FOREST", "anomaly_score"), part(means, "K_MEANS", "distance_to_center")])
+
+
 # ---- tables for learning
 
 

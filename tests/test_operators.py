@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import calendar as cal
 from tarmac.functions import numeric as num
-from tarmac.operators import anomaly, clusters, density, filters, forest, joins, maintenance, paging, reliability, training, windows
+from tarmac.operators import detection, anomaly, clusters, density, filters, forest, joins, maintenance, paging, reliability, training, windows
 
 D = date.fromisoformat
 PART = ["aircraft_msn", "component_id"]
@@ -305,3 +305,20 @@ def test_failure_classifier_learns_a_planted_signal(spark):
         model = training.failure_classifier(df, ["x"], ["kind"], "bad", kind, sizes=(5,), depths=(3,), folds=2)
         out = training.predict_failures(model, df, ["key", "bad"], ["x"]).toPandas()
         assert out[out.bad].failure_probability.mean() > 0.6 > 0.4 > out[~out.bad].failure_probability.mean()
+
+
+def test_detection_chain_finds_planted_anomalies(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    make = lambda n, g: pd.DataFrame(rng.normal(size=(n, 4)) * [1, 2, 3, 4] + [5, 6, 7, 8], columns=list("abcd")).assign(g=g)
+    history = pd.concat([make(600, "x"), make(600, "y"), make(20, "few")])
+    recent = pd.concat([make(80, "x"), make(80, "y"), make(5, "few")]).assign(row=range(165))
+    recent.loc[recent.row.isin([3, 90]), ["a", "b", "c", "d"]] = [25.0, -30.0, 60.0, -70.0]
+    old, new = spark.createDataFrame(history), spark.createDataFrame(recent)
+    fitted = detection.fit_detectors(old, "g", list("abcd"))
+    fitted.save(str(tmp_path / "detectors"))
+    again = detection.Detectors.load(spark, str(tmp_path / "detectors"))
+    out = [{r.row: r for r in detection.detect_anomalies(old, new, "g", list("abcd"), d, eps=2.0).collect()} for d in (fitted, again)]
+    assert out[0] == out[1]
+    assert out[0][3].detection_method == out[0][90].detection_method == "BOTH" and out[0][3].confidence_score == 0.95
+    assert {p["parameter"] for p in __import__("json").loads(out[0][3].abnormal_parameters)} == set("abcd")
+    assert not {r.g for r in out[0].values()} - {"x", "y"} and len(out[0]) < 60
