@@ -22,8 +22,9 @@ BOILERPLATE = (
 ENDS, CLOSERS, SEPARATORS, MARKS = ".!?…。！？:;", "\"'”’»)\\]", "|>»·•/\\-", "!?#*$%&"
 
 _END = re.compile(f"[{ENDS}][{CLOSERS}]*$")
+_PARTS = [c.encode() for c in "|>»·•/-"]
 _SEPARATOR = re.compile(f"^[{SEPARATORS}]+$")
-_MARKED = re.compile(f"[{MARKS}]{{2,}}$")
+_MARKED = {(a + b).encode() for a in MARKS for b in MARKS}
 _BOILERPLATE = re.compile(b"|".join(re.escape(p.encode()) for p in BOILERPLATE))
 
 # Shares of a line's words, in hundredths, above which the navigation and the punctuation rule fail it.
@@ -38,16 +39,13 @@ def line_passes(line: bytes, tokens: list[bytes]) -> bool:
     A line passes if it ends as a sentence does, if at most a fifth of its words are separators, if at most half of
     its words end in two or more marks, and if it holds no boilerplate phrase.
     """
-    last = tokens[-1].decode()
-    if not _END.search(last):
+    if not _END.search(tokens[-1].decode()):
         return False
     n = len(tokens)
-    if any(x in line for x in (b"|", b">", b"/", b"-", "»".encode(), "·".encode(), "•".encode())):
-        if 100 * sum(1 for w in tokens if len(w) <= 9 and _SEPARATOR.match(w.decode())) > MOST_SEPARATORS * n:
-            return False
-    if _MARKED.search(last) or n > 1 and _MARKED.search(tokens[0].decode()) or n > 2 and _MARKED.search(tokens[n // 2].decode()):
-        if 100 * sum(1 for w in tokens if _MARKED.search(w[-8:].decode(errors="ignore"))) > MOST_MARKED * n:
-            return False
+    if any(x in line for x in _PARTS) and 100 * sum(1 for w in tokens if _SEPARATOR.match(w.decode())) > MOST_SEPARATORS * n:
+        return False
+    if 100 * sum(1 for w in tokens if w[-2:] in _MARKED) > MOST_MARKED * n:
+        return False
     return not _BOILERPLATE.search(line.lower())
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from . import chat, decontam, langid, lm, neardup, packing, quality, secrets, toxicity, urlrules
 from .common import fold_of, table
+from .sqltexts import CHAT_WINDOWS, LINE_CLEANING
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_line_cleaning": LINE_CLEANING, "op9_chat_windows": CHAT_WINDOWS}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -43,7 +44,7 @@ def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents at a Jaccard similarity of 0.85."""
-    return neardup.near_duplicates(table(spark, folder, "documents"))
+    return neardup.near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
 @query
