@@ -78,6 +78,7 @@ def _(f):
         AND CAST(m.event_timestamp AS DATE) BETWEEN i.start_date AND i.end_date GROUP BY ALL) m
         USING (aircraft_msn, component_id, end_date)""")
 def _(f):
+    f.store("components", "maint")
     intervals = wn.day_intervals(f.maint.filter("is_scheduled"), PART, "event_timestamp")
     flown = jn.interval_totals(
         intervals, f.usage, ["aircraft_msn"], "start_date", "end_date", "date",

@@ -306,11 +306,16 @@ _ANALYSIS = {
 }
 
 
+def _analysed(f):
+    f.store("components", "maint", "usage")
+    return mnt.component_analysis(f.maint, f.usage, f.alerts, f.components)
+
+
 @query("mnt_component_analysis", f"""SELECT component_id, component_name, aircraft_msn, recommended_maintenance_interval, total_maintenance_events,
     unscheduled_maintenance_count, alert_count, {RA('avg_actual_interval_days', 'avg_actual_interval_days')},
     {RA('avg_flight_hours_between_maintenance', 'avg_flight_hours_between_maintenance')} FROM analysis""", _ANALYSIS)
 def _(f):
-    return mnt.component_analysis(f.maint, f.usage, f.alerts, f.components)
+    return _analysed(f)
 
 
 @query("mnt_recommend_dag", f"""SELECT component_id, {RA('risk_score', 'risk_score')}, {RA('optimal_interval_days', 'optimal_interval_days')},
@@ -318,7 +323,7 @@ def _(f):
     CASE WHEN risk_score > 0.5 THEN 'REDUCE_INTERVAL' WHEN risk_score > 0.2 THEN 'MAINTAIN_INTERVAL' ELSE 'EXTEND_INTERVAL' END AS recommendation
     FROM analysis_optimal""", _ANALYSIS)
 def _(f):
-    out = mnt.recommend_from_analysis(mnt.component_analysis(f.maint, f.usage, f.alerts, f.components))
+    out = mnt.recommend_from_analysis(_analysed(f))
     return out.select("component_id", "risk_score", "optimal_interval_days", "optimal_flight_hours", "recommendation")
 
 
@@ -350,12 +355,14 @@ def _(f):
     {RA('flight_hours_in_interval', 'flight_hours_in_interval')}, takeoffs_in_interval, landings_in_interval, unscheduled_failures_in_interval,
     alerts_in_interval, critical_alerts_in_interval FROM interval_features""")
 def _(f):
+    f.store("components", "maint")
     return mnt.interval_features(f.maint, f.usage, f.alerts)
 
 
 @query("mnt_failure_risk", f"""SELECT 'hours' AS basis, component_id, {S('end_date', 'end_date')}, {RA('failure_risk', 'failure_risk')} FROM interval_risk
     UNION ALL SELECT 'days', component_id, CAST(CAST(end_date AS DATE) AS VARCHAR), {R('failure_risk')} FROM interval_history""")
 def _(f):
+    f.store("components", "maint", "alerts")
     hours = mnt.interval_risk(mnt.interval_features(f.maint, f.usage, f.alerts), f.components)
     days = mnt.interval_history(f.maint, f.components, f.aircraft, f.alerts)
     pick = lambda df, basis: df.select(F.lit(basis).alias("basis"), "component_id", F.to_date("end_date").alias("end_date"), "failure_risk")
@@ -366,7 +373,7 @@ def _(f):
     {RA('optimal_interval_days', 'optimal_interval_days')}, {RA('average_failure_risk', 'average_failure_risk')}, total_unscheduled_failures, total_alerts,
     interval_count, recommendation, justification, confidence_score FROM recs""")
 def _(f):
-    return f.recs
+    return f.store("components", "maint").recs
 
 
 # ---- dashboard figures

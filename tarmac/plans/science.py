@@ -11,7 +11,7 @@ from ..operators import clusters, density, detection, forest
 from ..operators import maintenance as mnt
 from ..operators import textmodels as tm
 from ..operators import training as tr
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from .registry import R, RA, S, query
 from .selection import LEXICON, SQL_LEXICON, sql_tokens
 
@@ -186,6 +186,7 @@ def _(f):
 
 @query("ml_risk_regression")
 def _(f):
+    f.store("components", "maint")
     risks = mnt.interval_risk(mnt.interval_features(f.maint, f.usage, f.alerts), f.components)
     _, tested, rmse = tr.risk_regression(risks, ["aircraft_msn", "component_id", "end_date"])
     return tested.select("aircraft_msn", "component_id", "end_date", "failure_risk", "prediction", F.lit(rmse).alias("rmse"))
@@ -231,14 +232,32 @@ def _(f):
     )
 
 
-_NUMERIC = ["interval_days", "recommended_interval", "total_alerts", "critical_alerts", "unscheduled_failures"]
+_NUMERIC = ["flight_hours", "takeoffs", "landings", *[f"avg_{c}" for c in FEATURES], "total_alerts", "critical_alerts", "days_since_last_maintenance"]
+_KINDS = ["component_type", "manufacturer", "airline_code"]
+# learned from the days before, judged on the days from here
+_LEARN_UNTIL = "2001-01-01"
+
+
+def _labelled_days(f):
+    f.store("components", "maint")
+    frame = tr.failure_frame(f.maint, f.components, f.aircraft, f.usage, f.flights, f.alerts).withColumn("airline_code", F.col("airline_code").cast("string"))
+    return frame.select("aircraft_msn", "component_id", "date", *_NUMERIC, *_KINDS, "failure_next_7d")
+
+
+@query("ml_failure_split", f"""SELECT date < DATE '{_LEARN_UNTIL}' AS learns, ahead AS failing, COUNT(*) AS n FROM frame GROUP BY ALL""", _FRAME)
+def _(f):
+    return _labelled_days(f).groupBy((F.col("date") < _LEARN_UNTIL).alias("learns"), F.col("failure_next_7d").alias("failing")).agg(F.count("*").alias("n"))
 
 
 @query("ml_failure_classifier")
 def _(f):
-    history = mnt.interval_history(f.maint, f.components, f.aircraft, f.alerts).withColumn("airline_code", F.col("airline_code").cast("string"))
-    model = tr.failure_classifier(history, _NUMERIC, ["component_type", "manufacturer", "airline_code"], "is_failure", sizes=(10, 20), depths=(5,), folds=2)
-    return tr.predict_failures(model, history, ["aircraft_msn", "component_id", "end_date"], _NUMERIC)
+    days = materialise(_labelled_days(f), "labelled-days")
+    learned = days.filter(F.col("date") < _LEARN_UNTIL)
+    model = tr.failure_classifier(learned, _NUMERIC, _KINDS, "failure_next_7d", sizes=(50,), depths=(5, 10), folds=2, most_rows=20_000)
+    judged = tr.predict_failures(model, days.filter(F.col("date") >= _LEARN_UNTIL), ["component_type", "date", "failure_next_7d"], _NUMERIC)
+    return judged.groupBy("component_type", F.trunc("date", "month").alias("month"), "failure_next_7d").agg(
+        F.count("*").alias("n"), F.avg("failure_probability").alias("mean_probability"), F.count_if("failure_predicted").alias("predicted")
+    )
 
 
 _HASH = "CAST('0x' || substring(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT)"
@@ -363,7 +382,7 @@ def _labelled(f):
 @query("tx_tfidf_lr_fast")
 def _(f):
     rows = tr.stratified_split(_labelled(f), "toxicity", ["doc_id"])
-    model = tm.fit_fast(rows.filter("is_train"), max_iter=50)
+    model = tm.fit_fast(rows.filter("is_train"))
     return tm.scores(model, rows).select("doc_id", "toxicity", "is_train", "toxicity_score")
 
 
@@ -371,7 +390,7 @@ def _(f):
 def _(f):
     rows = tr.stratified_split(_labelled(f), "toxicity", ["doc_id"])
     train = rows.filter("is_train")
-    context = tm.scores(tm.fit_context(train, max_iter=50), rows, "context_score").select("doc_id", "toxicity", "is_train", "context_score")
+    context = tm.scores(tm.fit_context(train), rows, "context_score").select("doc_id", "toxicity", "is_train", "context_score")
     hashed = tm.scores(tm.fit_hashed(train), rows, "hashed_score").select("doc_id", "hashed_score")
     return context.join(hashed, "doc_id")
 
@@ -379,7 +398,7 @@ def _(f):
 @query("tx_mlp")
 def _(f):
     rows = tr.stratified_split(_labelled(f), "toxicity", ["doc_id"])
-    model = tm.fit_network(rows.filter("is_train"), vocabulary=500, max_iter=20)
+    model = tm.fit_network(rows.filter("is_train"))
     return tm.scores(model, rows).select("doc_id", "toxicity", "is_train", "toxicity_score")
 
 
