@@ -31,8 +31,10 @@ def edited(rng, words, edits):
     return out
 
 
-@pytest.mark.parametrize("percent", [85, 60])
-def test_components_agree_with_brute_force(spark, percent):
+@pytest.mark.parametrize("percent, pairwise, rows", [(85, 64, 1024), (60, 64, 1024), (85, 2, 7), (60, 0, 20)])
+def test_components_agree_with_brute_force(spark, monkeypatch, percent, pairwise, rows):
+    monkeypatch.setattr(neardup, "PAIRWISE", pairwise)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", rows)
     rng = random.Random(percent)
     rows, i = [], 100
     line = [f"w{rng.randrange(500)}" for _ in range(60)]
@@ -64,6 +66,20 @@ def test_edges(spark):
     assert neardup.near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_merged_components_of_graphs(spark):
+    rng = random.Random(3)
+    for nodes, links in ((60, 45), (60, 59), (40, 100)):
+        edges = [(x, x + 1) for x in range(links)] if links == 59 else [tuple(rng.sample(range(nodes), 2)) for _ in range(links)]
+        rng.shuffle(edges)
+        name = list(range(nodes))
+        for _ in range(nodes):
+            for a, b in edges:
+                name[a] = name[b] = min(name[a], name[b])
+        comps = spark.createDataFrame([(i, i) for i in range(nodes)], "node long, comp long")
+        got = neardup.merged(comps, spark.createDataFrame(edges, "a long, b long"))
+        assert {r.node: r.comp for r in got.collect()} == dict(enumerate(name))
+
+
 def test_size_bound_rules_out_no_link():
     rng = random.Random(9)
     for _ in range(3000):
