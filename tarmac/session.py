@@ -66,9 +66,22 @@ def shared_folder(spark: SparkSession) -> str:
     return base
 
 
+_PATHS: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; ``release`` removes it."""
+    _PATHS.append(f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _PATHS[-1]
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all stages that this process has stored; call it when their results have been written. Returns their number."""
+    done, hadoop = 0, spark.sparkContext._jsc.hadoopConfiguration()
+    while _PATHS:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_PATHS.pop())
+        done += bool(path.getFileSystem(hadoop).delete(path, True))
+    return done
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

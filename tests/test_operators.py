@@ -322,3 +322,23 @@ def test_detection_chain_finds_planted_anomalies(spark, tmp_path):
     assert out[0][3].detection_method == out[0][90].detection_method == "BOTH" and out[0][3].confidence_score == 0.95
     assert {p["parameter"] for p in __import__("json").loads(out[0][3].abnormal_parameters)} == set("abcd")
     assert not {r.g for r in out[0].values()} - {"x", "y"} and len(out[0]) < 60
+
+
+def test_text_models_beat_the_majority(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    from tarmac.operators import textmodels
+
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(300):
+        words = [f"w{rng.integers(60)}x" for _ in range(25)]
+        if i % 4 == 0:
+            words[int(rng.integers(25))] = "rotten"
+        rows.append((i, " ".join(words), float(i % 4 == 0), bool(i % 2)))
+    df = spark.createDataFrame(rows, "id int, text string, toxicity double, is_friends boolean")
+    train, test = df.filter("id < 200"), df.filter("id >= 200")
+    judge = BinaryClassificationEvaluator(labelCol="toxicity", rawPredictionCol="toxicity_score")
+    network = lambda d: textmodels.fit_network(d, max_iter=20)
+    for fit, least in ((textmodels.fit_fast, 0.8), (textmodels.fit_context, 0.8), (network, 0.6)):
+        assert judge.evaluate(textmodels.scores(fit(train), test)) > least

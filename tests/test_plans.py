@@ -72,3 +72,23 @@ def test_library_keeps_rows_on_the_cluster():
         text = path.read_text()
         for word in ("toPandas", "localCheckpoint", "crossJoin", ".rdd", "collect()"):
             assert word not in text, f"{word} in {path.name}"
+
+
+def test_stored_stages_can_be_released(spark, tmp_path, monkeypatch):
+    from tarmac import session
+
+    monkeypatch.setattr(session, "_PATHS", [])
+    monkeypatch.setattr(session, "shared_folder", lambda spark: f"file://{tmp_path}")
+    assert session.materialise(spark.range(5)).count() == 5
+    assert len(list(tmp_path.iterdir())) == 1
+    assert session.release(spark) == 1 and not list(tmp_path.iterdir()) and session.release(spark) == 0
+
+
+def test_a_wide_side_is_not_broadcast(spark):
+    from tarmac.operators import sizing
+    from tarmac.session import materialise
+
+    wide = materialise(spark.range(40).selectExpr("id", "transform(sequence(1, 100000), x -> rand()) AS numbers"))
+    assert sizing.stored_bytes(wide) > sizing.BROADCAST_BYTES
+    plan = sizing.sized_join(spark.range(9), wide, ["id"], stored=True)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
