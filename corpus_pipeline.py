@@ -28,14 +28,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates, and of rows with equal ids one."""
+    """Keep the document with the smallest id of each group of near duplicates, and of rows with equal ids one.
+
+    Rows without an id cannot be told apart by others and stay.
+    """
     found = materialise(neardup.near_duplicates(docs), "groups")
     kept = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_and("kept").alias("kept")).where("kept")
-    names = kept.select(F.col("doc_id").alias("_kept_id"), "rows")
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).join(names, F.col("_row.doc_id").eqNullSafe(F.col("_kept_id")))
+    names = kept.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id"), "rows")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    marked = packed.join(names, F.col("_row.doc_id") == F.col("_kept_id"))
     once = marked.where("rows = 1").select("_row")
     several = marked.where("rows > 1").groupBy("_kept_id").agg(F.min_by("_row", F.coalesce("_row.text", F.lit(""))).alias("_row")).select("_row")
-    return once.unionByName(several).select(*[F.col(f"_row.`{c}`") for c in docs.columns])
+    return once.unionByName(several).unionByName(packed.where("_row.doc_id IS NULL")).select(*[F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
