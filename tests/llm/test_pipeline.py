@@ -21,6 +21,7 @@ def rows():
     planted = [
         (100, out[0][1] + " and one more", "en"), (101, out[0][1], "en"), (102, out[1][1] + " Which of these seven answers TO the given question is the right one after all", "de"),
         (103, out[2][1][::-1] + " password=hunter2hunter2", "en"), (104, "1234 5678 !!", "en"), (105, None, "en"), (106, "", None), (107, out[3][1][::-1], None), (107, out[3][1][::-1], None),
+        (None, out[4][1][::-1], "en"), (None, out[5][1][::-1], "de"),
     ]
     return out + planted
 
@@ -31,7 +32,7 @@ def test_stages_on_planted_cases(spark, folder, tmp_path):
     at = spark.read.parquet(f"{folder}/documents.parquet")
     clean = set(range(30))
     gone = [{104, 105, 106}, {100, 101}, {102}, set()]
-    left = clean | {100, 101, 102, 103, 104, 105, 106, 107}
+    left = clean | {100, 101, 102, 103, 104, 105, 106, 107, None}
     for n, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
         out = stage(spark, at, folder)
         assert out.columns == docs.columns and out.schema == at.schema
@@ -39,7 +40,7 @@ def test_stages_on_planted_cases(spark, folder, tmp_path):
         at = spark.read.parquet(f"{tmp_path}/stage{n}")
         left -= gone[n]
         assert {r.doc_id for r in at.collect()} == left, n
-    assert at.where("doc_id = 107").count() == 1
+    assert at.where("doc_id = 107").count() == 1 and at.where("doc_id IS NULL").count() == 2
     masked = at.where("doc_id = 103").first()
     assert masked.text.endswith(" [SECRET]") and masked.n_chars == len(masked.text)
     packed = corpus_pipeline.STAGES[-1][1](spark, at, folder)
