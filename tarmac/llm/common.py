@@ -11,12 +11,23 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-__all__ = ["as_bytes", "fold_of", "materialise", "mix", "table", "text_bytes", "window_hashes", "word_hashes", "words"]
+__all__ = ["as_bytes", "bounded_batches", "fold_of", "materialise", "mix", "table", "text_bytes", "window_hashes", "word_hashes", "words"]
 
 # Odd multipliers of the 64-bit hashes.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches hold at most so many rows.
+
+    Rows here are whole texts: the default of 10 000 takes hundreds of megabytes in each task, outside the heap and in Python.
+    A smaller setting stays as it is.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -10,7 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, text_bytes, window_hashes, word_hashes, words
+from .common import WordHashes, bounded_batches, text_bytes, window_hashes, word_hashes, words
 
 BITS = 64
 # A block of items is broadcast while its texts stay within this size; a larger benchmark takes several blocks.
@@ -148,9 +148,10 @@ def finder(shared: Broadcast, percent: int) -> Callable[[Column], Column]:
     """A column function from text to its finds among the broadcast items."""
 
     @F.arrow_udf(FOUND_DDL)
-    def found(text: pa.Array) -> pa.Array:
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memory = WordHashes()
-        return pa.array([shared.value.search(t, memory, percent) for t in text_bytes(text)], type=FOUND)
+        for text in batches:
+            yield pa.array([shared.value.search(t, memory, percent) for t in text_bytes(text)], type=FOUND)
 
     # counts as non-deterministic so that no filter inferred from its result evaluates it a second time
     return found.asNondeterministic()
@@ -172,6 +173,7 @@ def matches(
     not read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     kind = benchmark.schema[item_col].dataType.simpleString()
     out = None
     for block in item_blocks(benchmark, item_col, item_text):
@@ -193,6 +195,7 @@ def contaminated(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 5, percent: int = 80, radius: int = 15, flag: str = "_contaminated"
 ) -> DataFrame:
     """The given rows with a boolean column ``flag``: whether the text holds a benchmark passage, as ``matches`` finds them."""
+    bounded_batches(docs.sparkSession)
     out = docs.withColumn(flag, F.lit(False))
     for block in item_blocks(benchmark, item_col, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(Items([t for _, t in block], size, radius))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, materialise
+from .common import as_bytes, bounded_batches, materialise
 
 SLOTS = 1 << 16  # n-grams share so many counters, so a language's model takes a fixed 256 KB
 UNKNOWN = "und"
@@ -65,6 +65,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size:
     The driver receives the sums only: at most SLOTS numbers for each distinct language, whatever the size of the
     input. With no such row the model has no language, and every text is ``und``.
     """
+    bounded_batches(docs.sparkSession)
     counts = materialise(count_grams(docs, text_col, lang_col, size), "grams")
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
     sums = np.full((SLOTS, len(langs)), smoothing)
@@ -122,6 +123,7 @@ def detector(spark, model: Model, rounds: int = 30, penalty: float = 1.0):
     ``und`` with score 0 and no languages for null texts, texts without a letter, and a model without languages.
     The model is broadcast; its size is SLOTS floats a language.
     """
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def one(text: str | None) -> dict:
@@ -132,7 +134,7 @@ def detector(spark, model: Model, rounds: int = 30, penalty: float = 1.0):
 
     @F.arrow_udf("lang_pred string, score double, langs array<string>, shares array<double>")
     def detected(text: pa.Array) -> pa.Array:
-        return pa.array([one(t) for t in text.to_pylist()], type=RESULT)
+        return pa.array([one(t.as_py()) for t in text], type=RESULT)
 
     return detected
 

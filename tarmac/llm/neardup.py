@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, materialise, text_bytes, window_hashes, word_hashes, words
+from .common import WordHashes, bounded_batches, materialise, text_bytes, window_hashes, word_hashes, words
 
 SKETCH = pa.struct([("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 SKETCH_DDL = "n_shingles long, set_key binary, sketch array<long>"
@@ -35,14 +36,15 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, k: int) ->
     """doc_id, n_shingles, set_key and the ``k`` smallest values of every row's shingle set."""
 
     @F.arrow_udf(SKETCH_DDL)
-    def sketched(text: pa.Array) -> pa.Array:
+    def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memory = WordHashes()
 
         def one(text: bytes) -> dict:
             s = shingle_set(text, size, memory)
             return {"n_shingles": len(s), "set_key": set_key(s), "sketch": s[:k].copy()}
 
-        return pa.array([one(t) for t in text_bytes(text)], type=SKETCH)
+        for text in batches:
+            yield pa.array([one(t) for t in text_bytes(text)], type=SKETCH)
 
     return docs.select(F.col(id_col).alias("doc_id"), sketched(F.col(text_col)).alias("s")).select("doc_id", "s.*")
 
@@ -240,6 +242,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are in one component. Rows with a null id take part; their component_id is the smallest id of the component, null
     if it has none. Ties cannot occur, as sets and ids decide. Empty tables give empty ones; other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     rows = materialise(sketches(docs, id_col, text_col, size, k), "sketches")
     groups = rows.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     nodes = materialise(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -248,10 +251,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # full sets of the nodes that occur in lists, from their texts
     @F.arrow_udf("struct<key: binary, shingles: array<long>>")
-    def full(text: pa.Array) -> pa.Array:
+    def full(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memory = WordHashes()
-        sets = [shingle_set(t, size, memory) for t in text_bytes(text)]
-        return pa.array([{"key": set_key(s), "shingles": s} for s in sets], type=pa.struct([("key", pa.binary()), ("shingles", pa.list_(pa.int64()))]))
+        kind = pa.struct([("key", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+        for text in batches:
+            sets = [shingle_set(t, size, memory) for t in text_bytes(text)]
+            yield pa.array([{"key": set_key(s), "shingles": s} for s in sets], type=kind)
 
     # a filter inferred from the key would otherwise run it on all texts, before the join
     full = full.asNondeterministic()

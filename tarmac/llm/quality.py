@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes
+from .common import as_bytes, bounded_batches
 
 # Phrases of navigation and legal furniture, in lower case.
 BOILERPLATE = (
@@ -131,6 +131,8 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (null unless ``with_text``).
     """
 
+    bounded_batches(docs.sparkSession)
+
     @F.arrow_udf(RESULT_DDL)
     def judged(text: pa.Array) -> pa.Array:
         return pa.array([judge(t, window, least_kept, with_text) for t in as_bytes(text)], type=RESULT)

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 KINDS = ("assign", "access", "hex", "entropy")
 
 # Fixed patterns of the known forms.
@@ -110,6 +112,8 @@ def redacted(text: str, spans: list[tuple[int, int, str]], mask: str) -> str:
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", allow: tuple[str, ...] = ()) -> DataFrame:
     """The same rows and columns with the secrets in ``text_col`` masked; null and empty texts stay as they are."""
 
+    bounded_batches(docs.sparkSession)
+
     @F.arrow_udf("string")
     def masked(text: pa.Array) -> pa.Array:
         return pa.array([t and redacted(t, all_spans(t, allow), mask) for t in text.to_pylist()], type=pa.string())
@@ -130,6 +134,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allow:
     Repeated rows give repeated results; an empty table gives an empty one; other columns are not read.
     """
 
+    bounded_batches(docs.sparkSession)
+
     def found(text: str | None) -> dict:
         spans = all_spans(text or "", allow)
         n = {k: sum(1 for s in spans if s[2] == k) for k in KINDS}

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, materialise
+from .common import as_bytes, bounded_batches, materialise
 
 
 @dataclass(frozen=True)
@@ -172,6 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows, and the driver receives the finished model. Rows without text or label are not used. Without rows of both classes
     there is no model.
     """
+    bounded_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)").dropDuplicates(["id"])
     known = known.join(docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id")).distinct(), "id").withColumn("h", F.xxhash64("id"))
     chosen = [known.where(F.col("y") == y).orderBy("h", "id").limit(n) for y, n in ((1, settings.most_toxic), (0, settings.most_ordinary))]
@@ -199,6 +200,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     """
     if model is None:
         return docs.select(F.col(id_col), F.lit(0.0).alias("score"))
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
