@@ -92,6 +92,8 @@ class Items:
     def search(self, text: bytes, memory: WordHashes, percent: int) -> list[dict]:
         """The best window for each item and place: overlapping windows of one item count as one find.
 
+        A text shorter than the item is one window as a whole.
+
         A window without a shingle of any item has similarity 0 to all of them, so only windows that cover one are
         fingerprinted.
         """
@@ -107,10 +109,12 @@ class Items:
             places: dict[int, list[int]] = {}
             for p, at in zip(hits.tolist(), np.searchsorted(self.shingles, shingles[hits]).tolist()):
                 for n in self.sizes[at]:
-                    if min(n, self.size) == width and n <= len(tokens):
+                    if min(n, self.size) == width:
                         places.setdefault(n, []).append(p)
             for n, positions in places.items():
-                span = n - width + 1  # shingles in a window
+                own, span = n - width + 1, min(n, len(tokens)) - width + 1  # shingles of the item, and in a window
+                if 100 * span < percent * own:
+                    continue
                 starts = np.unique(np.concatenate([np.arange(max(0, p - span + 1), min(p, len(shingles) - span) + 1) for p in positions]))
                 # prefix sums of signs over the touched stretch give the sums of every window in it
                 low, high = int(starts[0]), int(starts[-1]) + span
@@ -121,7 +125,7 @@ class Items:
                         similarity = self.similarity(item, shingles[start : start + span])
                         if 100 * similarity < percent - 1e-9:
                             continue
-                        found = {"item": item, "start_word": start, "n_words": n, "hamming": distance, "similarity": similarity}
+                        found = {"item": item, "start_word": start, "n_words": min(n, len(tokens)), "hamming": distance, "similarity": similarity}
                         last = best.setdefault(item, [])
                         if last and start < last[-1]["start_word"] + n:
                             if similarity > last[-1]["similarity"]:
@@ -163,7 +167,7 @@ def matches(
 ) -> DataFrame:
     """Benchmark passages in documents: the id, item, start_word, n_words, hamming and similarity of each find.
 
-    Windows of an item's number of words slide over every whole text. A window within ``radius`` bits of the item's
+    Windows of an item's number of words slide over every whole text; a shorter text is one window. A window within ``radius`` bits of the item's
     fingerprint is a candidate, found through ``radius`` + 1 blocks of which one must agree, and stays if the weighted
     Jaccard similarity of the ``size``-word shingles is ``percent`` hundredths or more. Overlapping windows of an item give
     one find: the most similar, the first of equals. Shorter items are compared as one shingle.

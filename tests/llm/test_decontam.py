@@ -75,3 +75,34 @@ def test_empty_tables(spark):
     assert decontam.matches(documents(spark, []), benchmark(spark, [(1, "a b c d e f")])).count() == 0
     none = decontam.matches(documents(spark, [(1, "a b c d e f")]), benchmark(spark, []))
     assert none.count() == 0 and none.columns == ["doc_id", "item_id", "start_word", "n_words", "hamming", "similarity"]
+
+
+def whole_brute(text, item):
+    """As ``brute``, and a text shorter than the item is one window."""
+    d, w = WORD.findall(ascii_lower(text or "")), WORD.findall(ascii_lower(item or ""))
+    return max(brute(text, item), one_window(d, w) if 0 < len(d) < len(w) else 0)
+
+
+def one_window(d, w):
+    a, b = weights(d), weights(w)
+    return sum(min(c, a.get(s, 0)) for s, c in b.items()) / sum(max(a.get(s, 0), b.get(s, 0)) for s in a | b)
+
+
+def test_texts_shorter_than_the_item(spark):
+    rng = random.Random(8)
+    items = [(i, [f"s{rng.randrange(3000)}" for _ in range(n)]) for i, n in enumerate([4, 6, 12, 40, 40, 60])]
+    rows = [(0, " ".join(items[3][1][:38]))]
+    for n in range(60):
+        words = list(rng.choice(items)[1])
+        words = words[rng.randint(0, len(words) // 8) : len(words) - rng.randint(0, len(words) // 8)]
+        if rng.random() < 0.3:
+            words[rng.randrange(len(words))] = "changed"
+        rows.append((1 + n, " ".join(words)))
+    items = [(i, " ".join(w)) for i, w in items]
+    docs = documents(spark, rows)
+    got = {(r.doc_id, r.item_id): r for r in decontam.matches(docs, benchmark(spark, items)).collect()}
+    want = {(d, i): s for d, t in rows for i, x in items for s in [whole_brute(t, x)] if s >= 0.8}
+    assert set(got) == set(want) and all(abs(got[k].similarity - want[k]) < 1e-9 for k in want)
+    assert (got[0, 3].start_word, got[0, 3].n_words) == (0, 38) and abs(got[0, 3].similarity - 34 / 36) < 1e-9
+    flagged = {r.doc_id for r in decontam.contaminated(docs, benchmark(spark, items)).where("_contaminated").collect()}
+    assert flagged == {d for d, _ in want}
