@@ -39,7 +39,7 @@ class Items:
         self.cuts = np.linspace(0, BITS, self.blocks + 1).astype(int)
         self.n, self.counts, self.prints = [], [], np.zeros(len(texts), np.uint64)
         self.index: dict[tuple[int, int, int], list[int]] = {}
-        owners: dict[int, set[int]] = {}
+        owners: dict[int, list[int]] = {}
         self.short: dict[int, set[int]] = {}
         for i, text in enumerate(texts):
             tokens = word_hashes(words(text), memory)
@@ -51,13 +51,17 @@ class Items:
             self.prints[i] = packed(signs(shingles).sum(axis=0, keepdims=True))[0]
             for b, value in enumerate(self.parts(int(self.prints[i]))):
                 self.index.setdefault((len(tokens), b, value), []).append(i)
-            for s in shingles.tolist():
-                owners.setdefault(s, set()).add(len(tokens))
+            for s in self.counts[i]:
+                owners.setdefault(s, []).append(i)
             if len(tokens) < size:
                 self.short.setdefault(len(tokens), set()).update(shingles.tolist())
         self.shingles = np.array(sorted(owners), np.uint64)
-        # the window sizes of the items that own each shingle
-        self.sizes = [sorted(owners[int(s)]) for s in self.shingles]
+        # the items that own each shingle, one after the other, and their window sizes
+        owned = [owners[s] for s in self.shingles.tolist()]
+        self.owners = np.array([i for held in owned for i in held], np.int32)
+        self.ends = np.cumsum([len(held) for held in owned], dtype=np.int64)
+        self.sizes = [sorted({self.n[i] for i in held}) for held in owned]
+        self.n_words = np.array(self.n, np.int64)
         self.bits = np.zeros(1 << 16, bool)
         self.bits[(self.shingles >> np.uint64(48)).astype(np.int64)] = True
 
@@ -82,6 +86,14 @@ class Items:
         at[at == len(self.shingles)] = 0
         return maybe[self.shingles[at] == shingles[maybe]]
 
+    def sharing(self, at: np.ndarray, n: int, least: float) -> list[int]:
+        """Items of ``n`` words that own ``least`` or more of the shingles ``at``, counted as often as they occur there."""
+        first = np.where(at > 0, self.ends[at - 1], 0)
+        many = self.ends[at] - first
+        owners = self.owners[np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        items, shared = np.unique(owners[self.n_words[owners] == n], return_counts=True)
+        return items[shared >= least].tolist()
+
     def similarity(self, item: int, shingles: np.ndarray) -> float:
         """Weighted Jaccard: each shingle weighs as often as it occurs."""
         own = self.counts[item]
@@ -95,7 +107,8 @@ class Items:
         A text shorter than the item is one window as a whole.
 
         A window without a shingle of any item has similarity 0 to all of them, so only windows that cover one are
-        fingerprinted.
+        fingerprinted. Those with so many shingles of one item that they may be similar enough are compared with it whatever
+        the distance of the fingerprints.
         """
         tokens = word_hashes(words(text), memory)
         if not len(tokens) or not len(self.shingles):
@@ -107,7 +120,8 @@ class Items:
             if not len(hits):
                 continue
             places: dict[int, list[int]] = {}
-            for p, at in zip(hits.tolist(), np.searchsorted(self.shingles, shingles[hits]).tolist()):
+            rank = np.searchsorted(self.shingles, shingles[hits])
+            for p, at in zip(hits.tolist(), rank.tolist()):
                 for n in self.sizes[at]:
                     if min(n, self.size) == width:
                         places.setdefault(n, []).append(p)
@@ -120,8 +134,15 @@ class Items:
                 low, high = int(starts[0]), int(starts[-1]) + span
                 sums = np.concatenate([np.zeros((1, BITS), np.int32), np.cumsum(signs(shingles[low:high]), axis=0, dtype=np.int32)])
                 prints = packed(sums[starts - low + span] - sums[starts - low])
-                for start, value in zip(starts.tolist(), prints.tolist()):
-                    for item, distance in self.near(value, n):
+                # similar enough takes so many shared shingles; no item can share more than the items of n words together
+                least = percent * (own + span) / (100 + percent) - 1e-6
+                shared = np.searchsorted(positions, starts + span) - np.searchsorted(positions, starts)
+                for start, value, enough in zip(starts.tolist(), prints.tolist(), (shared >= least).tolist()):
+                    candidates = dict(self.near(value, n))
+                    if enough:
+                        a, b = np.searchsorted(hits, (start, start + span))
+                        candidates |= {i: (value ^ int(self.prints[i])).bit_count() for i in self.sharing(rank[a:b], n, least) if i not in candidates}
+                    for item, distance in candidates.items():
                         similarity = self.similarity(item, shingles[start : start + span])
                         if 100 * similarity < percent - 1e-9:
                             continue
@@ -168,8 +189,9 @@ def matches(
     """Benchmark passages in documents: the id, item, start_word, n_words, hamming and similarity of each find.
 
     Windows of an item's number of words slide over every whole text; a shorter text is one window. A window within ``radius`` bits of the item's
-    fingerprint is a candidate, found through ``radius`` + 1 blocks of which one must agree, and stays if the weighted
-    Jaccard similarity of the ``size``-word shingles is ``percent`` hundredths or more. Overlapping windows of an item give
+    fingerprint is a candidate, found through ``radius`` + 1 blocks of which one must agree; so is one, whatever its distance,
+    that shares enough shingles with the item. A candidate stays if the weighted Jaccard similarity of the ``size``-word
+    shingles is ``percent`` hundredths or more. The radius loses nothing, and ``hamming`` may exceed it. Overlapping windows of an item give
     one find: the most similar, the first of equals. Shorter items are compared as one shingle.
 
     The benchmark is the stated query set: it is broadcast in blocks of bounded size, each against all documents. Null and

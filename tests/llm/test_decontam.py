@@ -106,3 +106,28 @@ def test_texts_shorter_than_the_item(spark):
     assert (got[0, 3].start_word, got[0, 3].n_words) == (0, 38) and abs(got[0, 3].similarity - 34 / 36) < 1e-9
     flagged = {r.doc_id for r in decontam.contaminated(docs, benchmark(spark, items)).where("_contaminated").collect()}
     assert flagged == {d for d, _ in want}
+
+
+def test_similar_windows_are_found_at_any_distance(spark):
+    """With a radius of 0 and with fingerprints more than 15 bits apart: nothing that is similar enough is lost."""
+    rng = random.Random(9)
+    items = [(i, " ".join(f"d{rng.randrange(5000)}" for _ in range(rng.choice([13, 30, 45])))) for i in range(8)] + [(8, "x y " * 20), (9, "x y " * 20)]
+    rows = [(0, "x y " * 30)]
+    for n in range(60):
+        part = rng.choice(items)[1].split()
+        part[rng.choice([0, len(part) // 2, len(part) - 1])] = "changed"
+        rows.append((1 + n, " ".join(["before"] * rng.randint(0, 5) + part + ["after"] * rng.randint(0, 5))))
+    docs = documents(spark, rows)
+    want = {(d, i) for d, t in rows for i, x in items if whole_brute(t, x) >= 0.8}
+    for radius in (0, 15):
+        got = decontam.matches(docs, benchmark(spark, items), radius=radius).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == want and (radius or any(r.hamming > 0 for r in got))
+    far = 0
+    for _ in range(1500):
+        words = [f"f{rng.randrange(10**6)}" for _ in range(23)]  # 19 shingles, of which 17 stay: 17/21
+        item, text = " ".join(words).encode(), " ".join(["other", "other", *words[2:]]).encode()
+        index = decontam.Items([item], 5, 15)
+        found = index.search(text, decontam.WordHashes(), 80)
+        assert len(found) == 1 and found[0]["similarity"] == 17 / 21
+        far += found[0]["hamming"] > 15
+    assert far > 0
