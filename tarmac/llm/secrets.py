@@ -20,19 +20,45 @@ ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a longer run that starts earlier cannot be passed over: the run is maximal
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+PIECE = re.compile(r"[^=]+")
 
-# Character classes: pattern of a whole window, window length, least entropy in bits per character.
+# Character classes: pattern of a run, window length, least entropy in bits per character. A run of one class is judged by
+# that class, and as part of a longer run of a wider class by that one too.
 # A window of n characters has at most log2(n) bits, so the bars differ with the class and its alphabet.
-CLASSES = (("digits", re.compile(r"[0-9]+"), 24, 3.2), ("hex", re.compile(r"[0-9a-fA-F]+"), 24, 3.1), ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.75))
+CLASSES = (("digits", re.compile(r"[0-9]+"), 24, 2.75), ("hex", re.compile(r"[0-9a-fA-F]+"), 24, 3.1), ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.75))
 
 # Strings of these forms are no secrets, whatever their entropy.
 ALLOW = (
-    re.compile(r"[A-Za-z]+(?:[-_][A-Za-z]+)*[-_]*"),  # words, also joined by dashes
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # identifiers in five groups
     re.compile(r"[=_+/-]+"),  # rulers
-    re.compile(r"[0-9_-]+"),  # numbers and dates
-    re.compile(r"/?[A-Za-z_-]{1,19}(?:/[A-Za-z_-]{1,19})+/?"),  # paths of names without digits
+    re.compile(r"[0-9]{1,19}(?:[_-]+[0-9]{1,19})*[_-]*"),  # numbers and dates
 )
+# Words, also joined by dashes and in paths; whether their letters are those of words is judged besides.
+WORDS = re.compile(r"/?[A-Za-z]+(?:[-_/]+[A-Za-z]+)*[-_/]*")
+PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+# Rounded shares of the letters a to z in European languages, in hundredths.
+SHARES = (8.5, 1.5, 3.0, 4.2, 13.5, 1.4, 1.9, 3.2, 7.8, 0.4, 1.2, 4.6, 2.7, 8.0, 6.0, 2.2, 0.5, 6.8, 6.8, 7.2, 4.0, 1.6, 1.4, 0.3, 1.1, 0.6)
+WEIGHTS = {chr(97 + i): math.log2(0.26 * share) for i, share in enumerate(SHARES)}
+
+
+def wordy(string: str) -> bool:
+    """Whether a string has the shape of words: parts of four letters on average, more like language than like drawn letters."""
+    if not WORDS.fullmatch(string):
+        return False
+    letters = sum(c.isalpha() for c in string)
+    # a single letter, over and over, is no key either
+    drawn = len(set(string.lower())) > 2 and sum(WEIGHTS.get(c, 0.0) for c in string.lower()) < -0.2 * letters
+    joined = len(re.findall("[A-Za-z]+", string))
+    return not drawn and (len(PARTS.findall(string)) - joined) * 4 <= letters
+
+
+def counting(digits: str) -> bool:
+    """Whether the digits go up or down by the same step, as in 1234567890123."""
+    return len({(ord(b) - ord(a)) % 10 for a, b in zip(digits, digits[1:])}) <= 1
+
+
+def harmless(string: str) -> bool:
+    return any(p.fullmatch(string) for p in ALLOW) or wordy(string)
 
 
 def known_spans(text: str) -> list[tuple[int, int, str]]:
@@ -74,17 +100,33 @@ def hot_windows(string: str, size: int, least: float) -> list[tuple[int, int]]:
 
 
 def entropy_spans(text: str, allow: Iterable[str] = ()) -> list[tuple[int, int, str]]:
-    """Spans of high entropy within candidate strings that no allow-list entry covers whole."""
-    out = []
+    """Spans of high entropy within candidate strings that no allow-list entry covers whole.
+
+    A candidate is cut at ``=``, so that a name before a value is judged apart from it. In each piece that is not allowed the
+    windows of each class slide over the longest runs of that class; the widest class also takes the candidate as a whole.
+    Overlapping spans count as one.
+    """
+    out: list[tuple[int, int, str]] = []
     allowed = set(allow)
     for m in CANDIDATE.finditer(text):
         string = m.group()
-        if string in allowed or any(p.fullmatch(string) for p in ALLOW):
+        if string in allowed or harmless(string):
             continue
-        for _, form, size, least in CLASSES:
-            if form.fullmatch(string):
-                out += [(m.start() + a, m.start() + b, "entropy") for a, b in hot_windows(string, size, least)]
-                break
+        pieces = [(p.start(), p.group()) for p in PIECE.finditer(string)]
+        open_pieces = [(at, p) for at, p in pieces if p not in allowed and not harmless(p)]
+        runs = [(at + r.start(), r.group(), k) for at, p in open_pieces for k in range(len(CLASSES) - 1) for r in CLASSES[k][1].finditer(p)]
+        # a run of digits is no hexadecimal one
+        runs = [(at, run, k) for at, run, k in runs if len(run) >= CLASSES[k][2] and (not counting(run) if run.isdigit() else True) and (k == 0 or not run.isdigit())]
+        # names before a value count with it, unless the value is allowed
+        if open_pieces and open_pieces[-1] == pieces[-1] and not CLASSES[-2][1].fullmatch(string):
+            runs.append((0, string, len(CLASSES) - 1))
+        spans = sorted((m.start() + at + a, m.start() + at + b) for at, run, k in runs for a, b in hot_windows(run, *CLASSES[k][2:]))
+        last = len(out)
+        for a, b in spans:
+            if len(out) > last and a <= out[-1][1]:
+                out[-1] = (out[-1][0], max(b, out[-1][1]), "entropy")
+            else:
+                out.append((a, b, "entropy"))
     return out
 
 

@@ -52,3 +52,32 @@ def test_redaction_keeps_rows_and_columns(spark):
     got = rows_of(out)
     assert got[1]["text"] == "my [SECRET] and [SECRET]" and got[2]["text"] is None and got[3]["text"] == "" and got[4]["text"] == "nothing to hide"
     assert secrets.scan(documents(spark, [])).count() == 0
+
+
+def found_share(alphabet, length, before, n=300):
+    rng = random.Random(3)
+    texts = [f"so {before}{''.join(rng.choice(alphabet) for _ in range(length))} it is" for _ in range(n)]
+    at = 3 + len(before)
+    return sum(any(a < at + length and b > at for a, b, _ in secrets.entropy_spans(t)) for t in texts) / n
+
+
+def test_random_keys_of_each_class_are_found_behind_a_name_too():
+    upper = "0123456789ABCDEF"
+    for before in ("", "KEY=", "sk_live_", "some-key-"):
+        assert found_share(upper, 24, before) > 0.95 and found_share(upper, 64, before) > 0.99, before
+        assert found_share("0123456789", 32, before) > 0.95, before
+        assert found_share("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 64, before) > 0.9 and found_share("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 32, before) > 0.95, before
+
+
+def test_words_numbers_and_counting_stay():
+    for spared in (
+        "internationalization", "Kraftfahrzeughaftpflichtversicherung", "getElementByIdFromDocument", "how-to-train-a-language-model", "/usr/local/share/perl/site",
+        "2024-01-01_12-30-45_000000", "98765432109876543210987654", "id=123e4567-e89b-12d3-a456-426614174000", "0" * 60,
+    ):
+        assert secrets.entropy_spans(spared) == [], spared
+    assert secrets.entropy_spans(f"key={KEY}", allow=[KEY]) == []
+
+
+def test_spans_of_several_classes_are_one():
+    key = "0123456789ABCDEF" * 2 + KEY
+    assert secrets.entropy_spans(f"x {key} y") == [(2, 2 + len(key), "entropy")]
