@@ -253,7 +253,7 @@ def _(f):
 def _(f):
     days = materialise(_labelled_days(f), "labelled-days")
     learned = days.filter(F.col("date") < _LEARN_UNTIL)
-    model = tr.failure_classifier(learned, _NUMERIC, _KINDS, "failure_next_7d", sizes=(50,), depths=(5, 10), folds=2, most_rows=20_000)
+    model = tr.failure_classifier(learned, _NUMERIC, _KINDS, "failure_next_7d", most_rows=20_000)
     judged = tr.predict_failures(model, days.filter(F.col("date") >= _LEARN_UNTIL), ["component_type", "date", "failure_next_7d"], _NUMERIC)
     return judged.groupBy("component_type", F.trunc("date", "month").alias("month"), "failure_next_7d").agg(
         F.count("*").alias("n"), F.avg("failure_probability").alias("mean_probability"), F.count_if("failure_predicted").alias("predicted")
