@@ -1,7 +1,7 @@
 """A training corpus from raw documents: language, near duplicates, benchmark passages, secrets, packing.
 
 Each stage takes the rows its predecessor kept, written as Parquet and read again, and returns the columns of ``documents``
-(the last one returns batches). Rows with equal doc_id count as one document to the stages that name documents by id.
+(the last one returns batches).
 """
 
 from __future__ import annotations
@@ -28,18 +28,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates, and of rows with equal ids one.
+    """Keep one row of each group of near duplicates: the smallest by id, nulls last, then by a digest of the text.
 
-    Rows without an id cannot be told apart by others and stay.
+    Rows are told apart by id and text, so rows that share an id are judged each by its own text, and copies without an id are
+    found. Rows with equal id and text count as one; only those without id and words all stay.
     """
-    found = materialise(neardup.near_duplicates(docs), "groups")
-    kept = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_and("kept").alias("kept")).where("kept")
-    names = kept.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id"), "rows")
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    marked = packed.join(names, F.col("_row.doc_id") == F.col("_kept_id"))
+    text = F.coalesce(F.concat(F.lit("t"), F.col("text")), F.lit(""))
+    key = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("-")), text)))
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), key.alias("key"))
+    found = materialise(neardup.near_duplicates(docs.select(name.alias("name"), "text"), id_col="name"), "groups")
+    plain = (F.col("n_shingles") == 0) & F.col("name.unnamed")
+    kept = found.where("kept").groupBy(F.col("name.key").alias("_key")).agg((F.when(F.bool_or(plain), 1).otherwise(F.count("*"))).alias("rows"))
+    packed = docs.select(key.alias("_of"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    marked = packed.join(kept, F.col("_of") == F.col("_key"))
     once = marked.where("rows = 1").select("_row")
-    several = marked.where("rows > 1").groupBy("_kept_id").agg(F.min_by("_row", F.coalesce("_row.text", F.lit(""))).alias("_row")).select("_row")
-    return once.unionByName(several).unionByName(packed.where("_row.doc_id IS NULL")).select(*[F.col(f"_row.`{c}`") for c in docs.columns])
+    several = marked.where("rows > 1").groupBy("_key").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row")
+    return once.unionByName(several).select(*[F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

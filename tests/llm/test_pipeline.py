@@ -58,3 +58,15 @@ def test_the_mixture_rejects_nothing_with_letters(spark):
     model = langid.train(documents(spark, [(1, "abc abd", "en")]))
     found = langid.identify(documents(spark, [(1, "x"), (2, "zzz qqq")]), model).collect()
     assert all(r.lang_pred == "en" for r in found)
+
+
+def test_near_duplicates_are_decided_by_row(spark, folder):
+    rng = random.Random(22)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(40)) for x in "abcd")
+    rows = [
+        (1, a, "en"), (2, a + " x", "en"), (2, b, "en"),  # id 2: a copy of 1, and a text of its own
+        (3, b + " y", "en"), (4, c, "en"), (4, d, "en"), (4, d, "en"),  # id 4: two texts, one of them twice
+        (None, c + " z", "en"), (None, "e " * 9 + a[::-1], "en"), (None, "e " * 9 + a[::-1], "en"), (None, None, "en"), (None, None, "en"), (5, "", "en"),
+    ]
+    left = sorted((str(r.doc_id), str(r.text)) for r in corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), folder).collect())
+    assert left == sorted([("1", a), ("2", b), ("4", c), ("4", d), ("None", "e " * 9 + a[::-1]), ("None", "None"), ("None", "None"), ("5", "")])
