@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, lm, neardup, packing, quality, secrets, toxicity, urlrules
+from . import bpe, chat, decontam, fim, langid, lm, neardup, packing, quality, secrets, toxicity, urlrules
 from .common import fold_of, table
-from .sqltexts import CHAT_WINDOWS, LINE_CLEANING
+from .sqltexts import CHAT_WINDOWS, FILL_IN_MIDDLE, LINE_CLEANING
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op1_line_cleaning": LINE_CLEANING, "op9_chat_windows": CHAT_WINDOWS}
+SQL: dict[str, str] = {"op1_line_cleaning": LINE_CLEANING, "op9_chat_windows": CHAT_WINDOWS, "op11_fill_in_middle": FILL_IN_MIDDLE}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -85,3 +85,19 @@ def op2_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
     """Log-probabilities of all documents under a model of four folds of five."""
     docs = table(spark, folder, "documents")
     return lm.score_texts(docs, fold_of("doc_id", 5) == 1)
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents rearranged for filling in the middle, and read back."""
+    return fim.digests(fim.transform(table(spark, folder, "documents")))
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded by the ranks of a public vocabulary, and decoded."""
+    import public_tokenizers
+
+    encoder = bpe.Encoder(bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+    found = bpe.decode(bpe.encode(table(spark, folder, "documents"), encoder), encoder)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -67,3 +67,26 @@ SELECT c.conv_id, c.n AS n_turns, sha256(d.said) AS turns_sha256, CAST(length(d.
 JOIN (SELECT conv_id, string_agg(role || chr(10) || text || chr(10), '' ORDER BY i) AS said, COALESCE(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '') AS target
       FROM summed GROUP BY conv_id) d ON d.conv_id = c.conv_id
 JOIN (SELECT conv_id, SUM(chars) AS chars FROM repeated GROUP BY conv_id) r ON r.conv_id = c.conv_id"""
+
+FILL_IN_MIDDLE = r"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+    FROM documents),
+drawn AS (
+    SELECT doc_id, t, u, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+    FROM units),
+parted AS (
+    SELECT doc_id, t, n,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+        coalesce(array_to_string(u[1:least(h1 % (n + 1), h2 % (n + 1))], ''), '') AS p,
+        coalesce(array_to_string(u[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], ''), '') AS m,
+        coalesce(array_to_string(u[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], ''), '') AS s
+    FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+    CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parted
+"""
