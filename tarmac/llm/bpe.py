@@ -21,7 +21,7 @@ from .common import bounded_batches, mix
 # Multipliers of the 64-bit hash (the second is that of ``mix``).
 GOLDEN, SPREAD, MASK = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
 # Keys a bucket of the hash, pre-tokens taken from a text at a time, pre-tokens and pairs a worker remembers, and the longest of them.
-BUCKET, CHUNK, REMEMBERED, LONGEST = 4, 100_000, 200_000, 64
+BUCKET, CHUNK, REMEMBERED, LONGEST = 2, 100_000, 200_000, 64
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -133,13 +133,13 @@ class Encoder(dict):
 
     def prepare(self) -> None:
         self.split = regex.compile(self.pattern)
-        self.strange = regex.compile("[" + "".join(f"\\U{c:08x}" for c in sorted(self.classes)) + "]") if self.classes else None
+        self.strange = frozenset(map(chr, self.classes))
         self.single = [self.rank(bytes([b])) for b in range(256)]
         self.pairs: dict[tuple[int, int], int] = {}
 
     def pieces(self, text: str) -> Iterator[str]:
         """Pre-tokens in order."""
-        if text.isascii() or not self.strange or not self.strange.search(text):
+        if text.isascii() or self.strange.isdisjoint(set(text)):
             return (m.group() for m in self.split.finditer(text)) if len(text) > CHUNK else iter(self.split.findall(text))
         return (text[m.start() : m.end()] for m in self.split.finditer(text.translate(self.classes)))
 
