@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import base64
-import heapq
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
+from heapq import heapify, heappop, heappush
 from itertools import islice
 
 import numpy as np
@@ -20,8 +20,8 @@ from .common import bounded_batches, mix
 
 # Multipliers of the 64-bit hash (the second is that of ``mix``).
 GOLDEN, SPREAD, MASK = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
-# Keys a bucket of the hash, pre-tokens taken from a text at a time, pre-tokens and pairs a worker remembers, and the longest of them.
-BUCKET, CHUNK, REMEMBERED, LONGEST = 2, 100_000, 200_000, 64
+# Keys a bucket of the hash, pre-tokens taken from a text at a time, pre-tokens a worker remembers, and the longest of them.
+BUCKET, CHUNK, REMEMBERED, LONGEST = 2, 100_000, 600_000, 64
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -127,15 +127,15 @@ class Encoder(dict):
         self.tokens, self.pattern = tokens, pattern
         self.whole, self.classes = PerfectHash(tokens), other_classes()
         self.prepare()
+        self.follow = self.joined()
 
     def __reduce__(self):
-        return _encoder, ({k: self.__dict__[k] for k in ("tokens", "pattern", "whole", "classes")},)
+        return _encoder, ({k: self.__dict__[k] for k in ("tokens", "pattern", "whole", "classes", "follow")},)
 
     def prepare(self) -> None:
         self.split = regex.compile(self.pattern)
         self.strange = frozenset(map(chr, self.classes))
         self.single = [self.rank(bytes([b])) for b in range(256)]
-        self.pairs: dict[tuple[int, int], int] = {}
 
     def pieces(self, text: str) -> Iterator[str]:
         """Pre-tokens in order."""
@@ -148,38 +148,48 @@ class Encoder(dict):
         found = self.whole.lookup(word)
         return found if self.tokens[found] == word else -1
 
-    def pair(self, left: int, right: int) -> int:
-        """Rank of two joined tokens, else -1."""
-        rank = self.pairs.get((left, right))
-        if rank is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
-            rank = self.pairs[left, right] = self.rank(self.tokens[left] + self.tokens[right])
-        return rank
+    def joined(self) -> list[dict[int, int]]:
+        """For each token the tokens that may follow it and the rank of both joined; as large as the vocabulary allows.
+
+        One more entry, without any, is that of the end mark -1 of ``merged``.
+        """
+        out: list[dict[int, int]] = [{} for _ in range(len(self.tokens) + 1)]
+        for rank, token in enumerate(self.tokens):
+            for cut in range(1, len(token)):
+                if (left := self.rank(token[:cut])) >= 0 and (right := self.rank(token[cut:])) >= 0:
+                    out[left][right] = rank
+        return out
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of a word that is no token: the lowest rank is merged first, of equal ones the leftmost.
 
-        The bytes are a linked list; the heap holds (rank, place, left, right), and an entry whose pair has changed since is passed over.
+        The bytes are a linked list with an end mark of id -1 at place n. The heap holds (rank, place); an entry whose pair no longer has that
+        rank is passed over.
         """
-        ids = [self.single[b] for b in word]
-        n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.pair(ids[i], ids[i + 1])) >= 0]
-        heapq.heapify(heap)
+        follow, single, n = self.follow, self.single, len(word)
+        ids = [single[b] for b in word]
+        ids.append(-1)
+        after, before = list(range(1, n + 2)), list(range(-1, n))
+        heap = []
+        for i in range(n - 1):
+            rank = follow[ids[i]].get(ids[i + 1])
+            if rank is not None:
+                heap.append((rank, i))
+        heapify(heap)
         while heap:
-            rank, i, left, right = heapq.heappop(heap)
+            rank, i = heappop(heap)
             j = after[i]
-            if ids[i] != left or j >= n or ids[j] != right:
+            if follow[ids[i]].get(ids[j]) != rank:
                 continue
-            ids[i], ids[j] = rank, -1
             after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-                if (r := self.pair(rank, ids[k])) >= 0:
-                    heapq.heappush(heap, (r, i, rank, ids[k]))
-            if (h := before[i]) >= 0 and (r := self.pair(ids[h], rank)) >= 0:
-                heapq.heappush(heap, (r, h, ids[h], rank))
+            before[k], ids[i], ids[j] = i, rank, -1
+            found = follow[rank].get(ids[k])
+            if found is not None:
+                heappush(heap, (found, i))
+            h = before[i]
+            found = follow[ids[h]].get(rank)
+            if found is not None:
+                heappush(heap, (found, h))
         return [t for t in ids if t >= 0]
 
     def __missing__(self, piece: str) -> bytes:
@@ -243,7 +253,9 @@ def decode(found: DataFrame, encoder: Encoder, ids_col: str = "ids", out: str =
     @F.arrow_udf("binary")
     def decoded(ids: pa.Array) -> pa.Array:
         own = shared.value
-        return pa.array([None if x is None else own.decode(x) for x in (i.as_py() for i in ids)], type=pa.binary())
+        values, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_pylist()
+        spans = zip(ends, ends[1:], ids.is_valid().to_pylist(), strict=False)
+        return pa.array([own.decode(values[a:b].tolist()) if known else None for a, b, known in spans], type=pa.binary())
 
     return found.withColumn(out, decoded(F.col(ids_col)))
 
