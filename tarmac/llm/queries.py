@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, fim, langid, lm, neardup, packing, quality, secrets, toxicity, urlrules
+from . import bpe, chat, decontam, fim, langid, lm, neardup, packing, quality, secrets, toxicity, trie, urlrules
 from .common import fold_of, table
-from .sqltexts import CHAT_WINDOWS, FILL_IN_MIDDLE, LINE_CLEANING
+from .sqltexts import CHAT_WINDOWS, FILL_IN_MIDDLE, LINE_CLEANING, PREFIX_TRIE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op1_line_cleaning": LINE_CLEANING, "op9_chat_windows": CHAT_WINDOWS, "op11_fill_in_middle": FILL_IN_MIDDLE}
+SQL: dict[str, str] = {"op1_line_cleaning": LINE_CLEANING, "op9_chat_windows": CHAT_WINDOWS, "op11_fill_in_middle": FILL_IN_MIDDLE, "op12_prefix_trie": PREFIX_TRIE}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -101,3 +101,9 @@ def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoder = bpe.Encoder(bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
     found = bpe.decode(bpe.encode(table(spark, folder, "documents"), encoder), encoder)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(table(spark, folder, "conversations")).drop("turn_conv", "turn_index")

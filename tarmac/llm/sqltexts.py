@@ -90,3 +90,39 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
     sha256(t) AS restored_sha256
 FROM parted
 """
+
+# crc32 is taken bit by bit: each byte is followed by eight shifts, marked -1
+PREFIX_TRIE = """
+WITH own AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said, strlen(coalesce(text, '')) AS bytes
+    FROM conversations WHERE conv_id IS NOT NULL),
+steps AS (
+    SELECT conv_id, count(*) AS n, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])) AS s
+    FROM own GROUP BY conv_id),
+heads AS (
+    SELECT conv_id, n, xor(list_reduce(list_prepend(4294967295, s), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 9 AS h,
+        conv_id - conv_id % 5 AS base
+    FROM steps),
+rebuilt AS (
+    SELECT h.conv_id, o.i AS place, said, bytes FROM heads h JOIN own o ON o.conv_id = h.base AND o.i <= h.h
+    UNION ALL
+    SELECT h.conv_id, least(h.h, coalesce(b.n, 0)) + o.i - h.h, said, bytes FROM heads h LEFT JOIN heads b ON b.conv_id = h.base JOIN own o ON o.conv_id = h.conv_id AND o.i > h.h),
+prefixes AS (
+    SELECT conv_id, place AS depth, bytes, string_agg(said, '') OVER (PARTITION BY conv_id ORDER BY place) AS path FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM heads),
+lengths AS (SELECT conv_id, max(depth) AS length FROM prefixes GROUP BY conv_id),
+nodes AS (
+    SELECT path, depth, min(p.conv_id) AS conv, count(*) AS n_convs, max(bytes) AS bytes,
+        coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (WHERE depth = length), '') AS ends
+    FROM prefixes p JOIN lengths USING (conv_id) GROUP BY path, depth),
+tree AS (SELECT c.*, p.conv AS parent FROM nodes c LEFT JOIN nodes p ON c.depth > 0 AND p.path = c.path[1:64 * (c.depth - 1)]),
+children AS (SELECT parent AS conv, depth - 1 AS depth, count(*) AS n FROM tree WHERE depth > 0 GROUP BY ALL),
+above AS (SELECT path, unnest(range(0, depth + 1)) AS up FROM nodes),
+sums AS (
+    SELECT a.path[1:64 * a.up] AS top, count(*) FILTER (WHERE k.n IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.bytes) AS saved
+    FROM above a JOIN nodes n ON n.path = a.path LEFT JOIN children k ON k.conv = n.conv AND k.depth = n.depth GROUP BY ALL)
+SELECT CAST(t.conv AS BIGINT) AS conv_id, CAST(t.depth AS BIGINT) AS depth, CAST(parent AS BIGINT) AS parent_conv_id, CAST(n_convs AS BIGINT) AS n_convs,
+    CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM tree t JOIN sums s ON s.top = t.path LEFT JOIN children k ON k.conv = t.conv AND k.depth = t.depth
+"""
