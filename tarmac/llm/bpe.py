@@ -7,7 +7,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from .common import bounded_batches, mix
 # Multipliers of the 64-bit hash (the second is that of ``mix``).
 GOLDEN, SPREAD, MASK = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
 # Keys a bucket of the hash, pre-tokens taken from a text at a time, pre-tokens a worker remembers, and the longest of them.
-BUCKET, CHUNK, REMEMBERED, LONGEST = 2, 100_000, 600_000, 64
+BUCKET, CHUNK, REMEMBERED, LONGEST = 2, 100_000, 300_000, 64
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -120,7 +120,7 @@ def other_classes() -> dict[int, str]:
 class Encoder(dict):
     """Encodes and decodes texts with one vocabulary.
 
-    As a dictionary it remembers the ids of pre-tokens, packed as 32-bit numbers; it is emptied when it has grown large.
+    As a dictionary it remembers the ids of pre-tokens, packed as 32-bit numbers; when it has grown large it replaces ``older`` and starts anew.
     """
 
     def __init__(self, tokens: list[bytes], pattern: str):
@@ -135,6 +135,7 @@ class Encoder(dict):
     def prepare(self) -> None:
         self.split = regex.compile(self.pattern)
         self.strange = frozenset(map(chr, self.classes))
+        self.older: dict[str, bytes] = {}
         self.single = [self.rank(bytes([b])) for b in range(256)]
 
     def pieces(self, text: str) -> Iterator[str]:
@@ -168,14 +169,16 @@ class Encoder(dict):
         """
         follow, single, n = self.follow, self.single, len(word)
         ids = [single[b] for b in word]
-        ids.append(-1)
-        after, before = list(range(1, n + 2)), list(range(-1, n))
         heap = []
-        for i in range(n - 1):
-            rank = follow[ids[i]].get(ids[i + 1])
+        for i, (left, right) in enumerate(pairwise(ids)):
+            rank = follow[left].get(right)
             if rank is not None:
                 heap.append((rank, i))
+        if not heap:
+            return ids
         heapify(heap)
+        ids.append(-1)
+        after, before = list(range(1, n + 2)), list(range(-1, n))
         while heap:
             rank, i = heappop(heap)
             j = after[i]
@@ -193,11 +196,15 @@ class Encoder(dict):
         return [t for t in ids if t >= 0]
 
     def __missing__(self, piece: str) -> bytes:
-        word = piece.encode()
-        rank = self.rank(word)
-        packed = array("i", [rank] if rank >= 0 else self.merged(word)).tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            word = piece.encode()
+            rank = self.rank(word)
+            packed = array("i", [rank] if rank >= 0 else self.merged(word)).tobytes()
         if len(piece) <= LONGEST:
             if len(self) >= REMEMBERED:
+                # what is still in use comes back from the older half one by one
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
