@@ -68,7 +68,8 @@ def test_stored_stages_lie_in_the_shared_folder(spark):
 
 
 def test_library_keeps_rows_on_the_cluster():
-    for path in LIBRARY.rglob("*.py"):
+    # the optional text operators have a test of their own
+    for path in (p for p in LIBRARY.rglob("*.py") if "llm" not in p.relative_to(LIBRARY).parts):
         text = path.read_text()
         for word in ("toPandas", "localCheckpoint", "crossJoin", ".rdd", "collect()"):
             assert word not in text, f"{word} in {path.name}"
