@@ -62,3 +62,14 @@ def test_mined_rules_agree_with_brute_force(spark):
 def test_without_labels_all_else_is_allowed(spark):
     got = rows_of(urlrules.judge(pages(spark, [(1, "http://a.b/c")]), rules=()), "page_id")
     assert got[1]["verdict"] == "allow" and got[1]["confidence"] is None
+
+
+def test_shared_query_strings_do_not_multiply(spark):
+    """Thirty keys that every URL carries, or none of them, count as one item."""
+    shared = "&".join(f"utm{i}=x" for i in range(30))
+    rows = [(i, f"https://a{i % 7}.net/p{i % 5}/x?{shared}") for i in range(200)] + [(1000 + i, f"https://b{i % 7}.org/fr/p{i % 5}?q=1") for i in range(200)]
+    # judged by the keys alone: all of them, one of them, none
+    rows += [(2000, f"https://c.info/zz?{shared}"), (2001, "https://c.info/zz?utm3=1"), (2002, "https://c.info/zz?other=1")]
+    found = {r.page_id: r for r in urlrules.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert [found[i].verdict for i in (2000, 2001, 2002)] == ["block", "block", "allow"] and found[2001].confidence == 1.0
+    assert len(found) == 403
