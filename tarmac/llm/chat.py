@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 # Fixed marks of the template. No escaped text holds "<|", so none of them can occur inside a text.
 NEW, SEEN, TEXT, END = "<|turn|>", "<|seen|>", "<|text|>", "<|end|>"
 WORD = r"[^\x20\x09-\x0D]+"
+# Turns whose span starts are gathered at a time.
+BLOCK = 512
 
 
 def escaped(c: Column) -> Column:
@@ -35,9 +39,9 @@ def windows(
     once. Turns are never cut: one that exceeds the budget alone has a span of its own.
 
     Turns are ordered by number, null first, then role and text, so ties and repeated rows have a defined place. Null
-    roles and texts count as empty. Rows of a null id form one conversation. A conversation is one formatted unit and is
-    gathered in one row; different conversations are spread by id. Empty tables give empty ones. Other columns are not
-    read, so their names cannot clash.
+    roles and texts count as empty. Rows of a null id form one conversation. Of a conversation only numbers (a few a turn) are gathered in one row,
+    where the spans are chosen; texts meet by conversation and window, and a window holds one budget of tokens or one turn. Empty tables
+    give empty ones. Other columns are not read, so their names cannot clash.
     """
     text, role = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(role_col), F.lit(""))
     base = rows.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"))
@@ -46,31 +50,44 @@ def windows(
     order = Window.partitionBy("conv").orderBy("turn", "role", "text")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     base = base.select(
-        "conv", (F.row_number().over(order) - 1).alias("i"), "role", "er", "et", "tok", "len",
+        "conv", (F.row_number().over(order) - 1).cast("long").alias("i"), "role", "er", "et", "tok", "len",
         F.coalesce(F.sum("tok").over(before), F.lit(0)).alias("pre"), F.coalesce(F.sum("len").over(before), F.lit(0)).alias("at"),
+        F.first("role").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("first_role"),
     )
-    convs = base.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("i", "role", "er", "et", "tok", "len", "pre", "at"))).alias("t"))
-    convs = convs.withColumn("sys", F.expr("t[0].role = 'system'"))
+    base = materialise(base, "turns")
+    # history of a span that starts here: turns before it, after the system turn, near enough by number and by prefix sum
+    system = F.col("first_role") == "system"
+    along = Window.partitionBy("conv").orderBy("i")
+    earlier = [F.lag("pre", k).over(along) for k in range(1, most_history + 1)]
+    near = [((F.col("i") - k >= system.cast("int")) & (F.col("pre") - p <= history_budget)).cast("int") for k, p in enumerate(earlier, 1)]
+    history = sum((F.coalesce(n, F.lit(0)) for n in near), F.lit(0))
+    numbers = base.select("conv", "i", "tok", "pre", system.alias("sys"), history.alias("history"))
+    convs = numbers.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("i", "tok", "pre", "history"))).alias("t"), F.bool_or("sys").alias("sys"))
     convs = convs.withColumn("own", F.expr(f"greatest({budget - history_budget} - IF(sys, t[0].tok, 0), 1)"))
-    convs = convs.withColumn("starts", F.expr("aggregate(t, array(0), (s, x) -> IF(x.i > element_at(s, -1) AND x.pre + x.tok - t[element_at(s, -1)].pre > own, array_append(s, x.i), s))"))
-    spans = convs.select("conv", "t", "sys", "starts", F.posexplode("starts").alias("window", "s"))
-    spans = spans.withColumn("e", F.expr("coalesce(get(starts, window + 1), size(t))")).drop("starts")
-    # history: turns before the span, after the system turn, near enough by number and by prefix sum
-    spans = spans.withColumn("low", F.expr(f"least(s, greatest(s - {most_history}, IF(sys, 1, 0)))"))
-    spans = spans.withColumn("h", F.expr(f"s - size(filter(slice(t, low + 1, s - low), x -> t[s].pre - x.pre <= {history_budget}))"))
-    spans = spans.withColumn("again", F.expr("sys AND s > 0"))
-
-    def piece(mark: str) -> str:
-        return f"x -> concat('{mark}', x.er, '{TEXT}', x.et, '{END}')"
-
-    out = spans.withColumn("text", F.expr(f"""concat(
-        IF(again, array_join(transform(slice(t, 1, 1), {piece(SEEN)}), ''), ''),
-        array_join(transform(slice(t, h + 1, s - h), {piece(SEEN)}), ''),
-        array_join(transform(slice(t, s + 1, e - s), {piece(NEW)}), ''))"""))
-    out = out.withColumn("loss", F.expr(f"""transform(filter(slice(t, s + 1, e - s), x -> x.role = 'assistant'), x -> named_struct(
-        'start', CAST(IF(again, t[0].len, 0) + x.at - t[h].at + {len(NEW) + len(TEXT)} + length(x.er) AS BIGINT), 'length', CAST(length(x.et) AS BIGINT)))"""))
-    tokens = F.expr("IF(again, t[0].tok, 0) + t[e - 1].pre + t[e - 1].tok - t[h].pre").cast("long")
-    return out.select(F.col("conv").alias(conv_col), F.col("window").cast("long").alias("window"), "text", "loss", tokens.alias("n_tokens"))
+    # the starts are gathered block by block, so that no long array is copied at every turn
+    convs = convs.withColumn("blocks", F.expr(f"transform(sequence(0, CAST((size(t) - 1) / {BLOCK} AS INT)), b -> slice(t, b * {BLOCK} + 1, {BLOCK}))"))
+    found = "array_append(s.here, named_struct('i', x.i, 'history', x.history))"
+    step = f"(s, x) -> IF(x.pre + x.tok - s.pre > own AND x.i > 0, named_struct('pre', x.pre, 'here', {found}), s)"
+    inner = f"aggregate(b, named_struct('pre', a.pre, 'here', CAST(array() AS array<struct<i: bigint, history: int>>)), {step})"
+    first = "named_struct('pre', 0L, 'all', array(array(named_struct('i', 0L, 'history', 0))))"
+    convs = convs.withColumn("spans", F.expr(f"flatten(aggregate(blocks, {first}, (a, b) -> transform(array({inner}), r -> named_struct('pre', r.pre, 'all', array_append(a.all, r.here)))[0]).all)"))
+    ended = "transform(spans, (s, w) -> named_struct('window', w, 's', s.i, 'h', s.i - s.history, 'e', coalesce(get(spans, w + 1).i, CAST(size(t) AS BIGINT))))"
+    spans = convs.select("conv", "sys", F.explode(F.expr(ended)).alias("x")).select("conv", "sys", "x.*")
+    again = F.col("sys") & (F.col("s") > 0)
+    places = F.concat(F.when(again, F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<bigint>")), F.sequence("h", F.col("e") - 1))
+    placed = spans.select(F.col("conv").alias("c"), "window", "s", again.alias("again"), F.explode(places).alias("place"))
+    met = base.join(placed, F.col("conv").eqNullSafe(F.col("c")) & (F.col("i") == F.col("place")))
+    piece = F.concat(F.when(F.col("i") < F.col("s"), F.lit(SEEN)).otherwise(F.lit(NEW)), "er", F.lit(TEXT), "et", F.lit(END))
+    target = (F.col("i") >= F.col("s")) & (F.col("role") == "assistant")
+    met = met.select("conv", "window", "again", F.struct("i", "tok", "len", "at", piece.alias("piece"), target.alias("target"), F.length("er").alias("er"), F.length("et").alias("et")).alias("p"))
+    out = met.groupBy("conv", "window").agg(F.bool_or("again").alias("again"), F.sort_array(F.collect_list("p")).alias("t"))
+    out = out.withColumn("from", F.expr("IF(again, t[0].len, 0) - t[IF(again, 1, 0)].at"))
+    loss = F.expr(f"""transform(filter(t, x -> x.target), x -> named_struct(
+        'start', CAST(from + x.at + {len(NEW) + len(TEXT)} + x.er AS BIGINT), 'length', CAST(x.et AS BIGINT)))""")
+    return out.select(
+        F.col("conv").alias(conv_col), F.col("window").cast("long").alias("window"), F.array_join(F.transform("t", lambda x: x["piece"]), "").alias("text"), loss.alias("loss"),
+        F.expr("aggregate(t, 0L, (n, x) -> n + x.tok)").alias("n_tokens"),
+    )
 
 
 def read_back(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:

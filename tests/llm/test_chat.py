@@ -82,3 +82,16 @@ def test_control_conversation_and_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = chat.read_back(chat.windows(frame(spark, []).where(F.lit(True))))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_long_conversation(spark):
+    """Windows do not carry their conversation: a text of 12 MB in 20 000 turns passes, and every turn comes back."""
+    words = "word " * 120
+    made = spark.range(20_000).selectExpr("9L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", f"concat(id, ' ', '{words}') AS text")
+    made = made.unionByName(spark.createDataFrame([(9, None, "system", "first of all")], "conv_id long, turn long, role string, text string"))
+    out = chat.windows(made)
+    told = chat.read_back(out).first()
+    assert told.n_turns == 20_001
+    said = "system\nfirst of all\n" + "".join(f"{'assistant' if i % 2 else 'user'}\n{i} {words}\n" for i in range(20_000))
+    assert told.turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    assert out.agg(F.max(F.length("text"))).first()[0] < 20_000
