@@ -17,14 +17,22 @@ from tarmac.session import materialise
 ORACLE_SQL = None
 
 
+# Share of its n-grams that the main language of a text must explain.
+LEAST_SHARE = 0.5
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents whose language the mixture model can tell; rejected are texts without a letter.
+    """Keep the documents of which one language makes up half at least, as the mixture model shares them out.
 
-    The models learn from the labelled rows of four folds of five.
+    Rejected are texts in which no language dominates and texts without a letter. A document without ``lang`` gets its main language.
+    The models learn from the labelled rows of four folds of five; without any, every document is rejected.
     """
     model = langid.train(docs.where(fold_of("doc_id", 5) != 0))
     found = langid.detector(spark, model)(F.col("text"))
-    return docs.where(found["lang_pred"] != langid.UNKNOWN)
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), found.alias("_found"))
+    kept = marked.where((F.col("_found.lang_pred") != langid.UNKNOWN) & (F.col("_found.score") >= LEAST_SHARE))
+    lang = F.coalesce("_row.lang", "_found.lang_pred").alias("lang")
+    return kept.select(*[lang if c == "lang" else F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +56,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents without a passage of the benchmark."""
-    marked = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"), flag="_contaminated")
-    return marked.where("NOT _contaminated").drop("_contaminated")
+    # a name that no column of the input has
+    flag = "_" * (1 + max(map(len, docs.columns), default=0)) + "contaminated"
+    marked = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"), flag=flag)
+    return marked.where(~F.col(flag)).drop(flag)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

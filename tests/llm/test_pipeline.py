@@ -3,8 +3,6 @@ import random
 import pytest
 
 import corpus_pipeline
-from tarmac.llm import langid
-
 from .helpers import documents
 
 
@@ -54,10 +52,24 @@ def test_empty_documents(spark, folder):
         assert stage(spark, empty, folder).count() == 0
 
 
-def test_the_mixture_rejects_nothing_with_letters(spark):
-    model = langid.train(documents(spark, [(1, "abc abd", "en")]))
-    found = langid.identify(documents(spark, [(1, "x"), (2, "zzz qqq")]), model).collect()
-    assert all(r.lang_pred == "en" for r in found)
+def test_the_mixture_decides_which_rows_stay(spark, folder):
+    rng = random.Random(23)
+    alphabets = {"en": "abcdef", "de": "ghijkl", "fr": "mnopqr", "es": "stuvwx"}
+    said = lambda lang, n: " ".join("".join(rng.choice(alphabets[lang]) for _ in range(4)) for _ in range(n))
+    rows = [(i, said(lang, 60), lang) for i, lang in enumerate(list(alphabets) * 10)]
+    thirds = " ".join(said(lang, 40) for lang in ("en", "de", "fr"))
+    rows += [(100, thirds, None), (101, said("en", 80) + " " + said("de", 40), None), (102, said("es", 50), None), (103, "", "en"), (104, said("fr", 50) + " " + said("de", 20), None)]
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, documents(spark, rows), folder).collect()}
+    assert set(kept) == {*range(40), 101, 102, 104}
+    assert (kept[101], kept[102], kept[104]) == ("en", "es", "fr")
+
+
+def test_columns_of_the_same_names(spark, folder):
+    rows = [(0, "a clean text without any passage of the list", "en"), (1, "Which of these seven answers TO the given question is the right one after all", "en")]
+    docs = documents(spark, rows).withColumnRenamed("kept", "_contaminated").withColumnRenamed("score", "_found")
+    out = corpus_pipeline.drop_benchmark_passages(spark, docs, folder)
+    assert out.columns == docs.columns and [r.doc_id for r in out.collect()] == [0]
+    assert corpus_pipeline.identify_language(spark, docs, folder).columns == docs.columns
 
 
 def test_near_duplicates_are_decided_by_row(spark, folder):
