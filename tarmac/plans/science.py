@@ -9,6 +9,7 @@ from ..functions import text as tx
 from ..operators import anomaly as an
 from ..operators import clusters, density, detection, forest
 from ..operators import maintenance as mnt
+from ..operators import ngrams
 from ..operators import textmodels as tm
 from ..operators import training as tr
 from ..session import materialise, scratch_path
@@ -382,8 +383,30 @@ def _labelled(f):
 @query("tx_tfidf_lr_fast")
 def _(f):
     rows = tr.stratified_split(_labelled(f), "toxicity", ["doc_id"])
-    model = tm.fit_fast(rows.filter("is_train"))
-    return tm.scores(model, rows).select("doc_id", "toxicity", "is_train", "toxicity_score")
+    model = tm.fit_terms(rows.filter("is_train"))
+    return model.scores(rows).select("doc_id", "toxicity", "is_train", "toxicity_score")
+
+
+_TERMS = {
+    "said": r"SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{Nd}\p{Pc}]{2,}') AS w FROM documents",
+    "terms": """SELECT doc_id, unnest(list_concat(w, list_concat(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+        list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))) AS term FROM said""",
+    "counted": "SELECT doc_id, term, COUNT(*) AS tf FROM terms GROUP BY ALL",
+    "kept": """SELECT term, COUNT(*) AS doc_freq, ln((n + 1) / (COUNT(*) + 1)) + 1 AS idf FROM counted, (SELECT COUNT(*) AS n FROM documents)
+        GROUP BY term, n HAVING COUNT(*) >= 2 AND COUNT(*) <= 0.9 * n""",
+}
+
+
+@query("tx_ngram_dictionary", f"""SELECT term, doc_freq, {R('idf')} AS idf, ROW_NUMBER() OVER (ORDER BY term) - 1 AS position FROM kept""", _TERMS)
+def _(f):
+    return ngrams.dictionary(f.table("documents"))
+
+
+@query("tx_ngram_vectors", f"""SELECT d.doc_id, COUNT(k.term) AS n_terms, {R('COALESCE(SQRT(SUM(tf * idf * tf * idf)), 0)')} AS norm
+    FROM documents d LEFT JOIN counted c ON c.doc_id = d.doc_id LEFT JOIN kept k ON k.term = c.term GROUP BY d.doc_id""", _TERMS)
+def _(f):
+    docs = f.table("documents")
+    return ngrams.weights(docs, ngrams.dictionary(docs), "doc_id").select("doc_id", F.size("entries").cast("long").alias("n_terms"), "norm")
 
 
 @query("tx_tfidf_lr_context")
