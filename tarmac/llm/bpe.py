@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
-from itertools import islice, pairwise
+from itertools import count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +16,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, mix
+from .common import bounded_batches
 
-# Multipliers of the 64-bit hash (the second is that of ``mix``).
-GOLDEN, SPREAD, MASK = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
 # Keys a bucket of the hash, pre-tokens taken from a text at a time, pre-tokens a worker remembers, and the longest of them.
-BUCKET, CHUNK, REMEMBERED, LONGEST = 2, 100_000, 300_000, 64
+BUCKET, CHUNK, REMEMBERED, LONGEST = 2, 100_000, 500_000, 64
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -40,60 +38,35 @@ def read_ranks(path: str) -> list[bytes]:
 class PerfectHash:
     """Minimal perfect hash of distinct keys by displacement: n keys take the numbers 0 to n - 1, with one number a bucket.
 
-    The largest buckets are placed first, each by the first displacement that sends its keys to free places; a bucket of one key names its
+    The largest buckets are placed first, each by the first seed that sends its keys to free places; a bucket of one key names its
     place outright (as a negative number).
     """
 
     def __init__(self, keys: list[bytes]):
-        self.size = len(keys)
-        self.buckets = max(1, self.size // BUCKET)
-        self.moved = np.zeros(self.buckets, np.int64)
-        self.key_at = np.zeros(self.size, np.int64)
-        hashes = self.hashes(keys)
-        if len(np.unique(hashes)) != self.size:
+        if len(set(keys)) != len(keys):
             raise ValueError("keys are not distinct")
-        bucket = (hashes % np.uint64(self.buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        groups = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if self.size else []
-        free = np.ones(self.size, bool)
-        for group in sorted(groups, key=len, reverse=True):
-            if len(group) == 1:
-                break
-            own, at = hashes[group], 1
-            while True:
-                tries = self.places(own[None, :], np.arange(at, at + 16)[:, None])
-                fits = free[tries].all(axis=1) & (np.diff(np.sort(tries, axis=1), axis=1) > 0).all(axis=1)
-                if fits.any():
-                    n = int(fits.argmax())
+        self.size, self.buckets = len(keys), max(1, len(keys) // BUCKET)
+        self.seed, self.index = [0] * self.buckets, [-1] * len(keys)
+        groups: dict[int, list[int]] = {}
+        for i, key in enumerate(keys):
+            groups.setdefault(xxhash.xxh3_64_intdigest(key) % self.buckets, []).append(i)
+        order = sorted(groups.items(), key=lambda g: (-len(g[1]), g[0]))
+        for bucket, group in (g for g in order if len(g[1]) > 1):
+            for seed in count(1):
+                places = {xxhash.xxh3_64_intdigest(keys[i], seed) % self.size for i in group}
+                if len(places) == len(group) and all(self.index[p] < 0 for p in places):
                     break
-                at += 16
-            self.moved[bucket[group[0]]] = at + n
-            free[tries[n]] = False
-            self.key_at[tries[n]] = group
-        single = np.array([g[0] for g in groups if len(g) == 1], np.int64)
-        places = np.flatnonzero(free)
-        self.moved[bucket[single]] = -1 - places
-        self.key_at[places] = single
-        # the same as lists: single look-ups are faster there
-        self.displaced, self.index = self.moved.tolist(), self.key_at.tolist()
-
-    @staticmethod
-    def hashes(keys: Iterable[bytes]) -> np.ndarray:
-        return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64)
-
-    def places(self, hashes: np.ndarray, moved: np.ndarray) -> np.ndarray:
-        return (mix(hashes + moved.astype(np.uint64) * np.uint64(GOLDEN)) % np.uint64(self.size)).astype(np.int64)
+            self.seed[bucket] = seed
+            for i in group:
+                self.index[xxhash.xxh3_64_intdigest(keys[i], seed) % self.size] = i
+        free = (p for p in range(self.size) if self.index[p] < 0)
+        for (bucket, group), place in zip([g for g in order if len(g[1]) == 1], list(free), strict=True):
+            self.seed[bucket], self.index[place] = -1 - place, group[0]
 
     def lookup(self, key: bytes) -> int:
         """The index of the only key that ``key`` can be equal to; the caller compares."""
-        h = xxhash.xxh3_64_intdigest(key)
-        moved = self.displaced[h % self.buckets]
-        if moved < 0:
-            return self.index[-1 - moved]
-        x = (h + moved * GOLDEN) & MASK
-        x = ((x ^ (x >> 32)) * SPREAD) & MASK
-        x = ((x ^ (x >> 32)) * SPREAD) & MASK
-        return self.index[(x ^ (x >> 32)) % self.size]
+        seed = self.seed[xxhash.xxh3_64_intdigest(key) % self.buckets]
+        return self.index[-1 - seed if seed < 0 else xxhash.xxh3_64_intdigest(key, seed) % self.size]
 
 
 @cache
