@@ -238,6 +238,37 @@ def test_forest_ranks_planted_outliers_first(spark):
     assert out.set_index("row").anomaly_score.round(9).to_dict() == again.set_index("row").anomaly_score.round(9).to_dict()
 
 
+def test_preorder_forest_scores_like_a_walk_from_node_to_node():
+    data = np.random.default_rng(3).normal(size=(300, 3))
+    data[:40] = data[0]
+    at, tree = forest.sampled(np.arange(300), np.zeros(300), 1.0, 5, 256, 1)
+    assert np.bincount(tree).tolist() == [256] * 5 and all(len(set(at[tree == t])) == 256 for t in range(5))
+    m, roots, feature, value, jump = forest.grow(data[at], tree, 5, 1)
+
+    def reach(x, node):
+        if feature[node] < 0:
+            return node
+        return reach(x, node + jump[node] if x[feature[node]] > value[node] else node + 1)
+
+    paths = [np.mean([value[reach(x, r)] for r in roots]) for x in data]
+    expected = -np.exp2(-np.array(paths) / forest.average_path(m))
+    np.testing.assert_allclose(forest.outlier_score(data, m, roots, feature, value, jump), expected)
+    # a tree's nodes lie together, and each has been reached from its root: n inner nodes and n + 1 leaves
+    for t in range(5):
+        of_tree = feature[roots[t] : (list(roots) + [len(feature)])[t + 1]]
+        assert (of_tree >= 0).sum() + 1 == (of_tree < 0).sum()
+
+
+def test_trees_draw_by_gaps_with_one_rate():
+    n, trees, share = 200_000, 100, 384 / 200_000
+    first = np.floor(np.log(forest.unit_hash(np.arange(n), 7, 9)) / np.log1p(-share))
+    met = np.flatnonzero(first < trees)
+    assert abs(len(met) / n - (1 - (1 - share) ** trees)) < 0.005
+    at, tree = forest.draws(met, first[met], share, trees, 5)
+    counts = np.bincount(tree, minlength=trees)
+    assert counts.min() > 256 and abs(counts.mean() - 384) < 8 and len(set(zip(at, tree))) == len(at)
+
+
 def test_forest_scores_do_not_depend_on_chunks(spark):
     rng = np.random.default_rng(2)
     df = spark.createDataFrame(pd.DataFrame(rng.normal(size=(900, 2)), columns=list("ab")).assign(g=0, row=range(900)))
