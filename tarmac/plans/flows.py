@@ -8,7 +8,7 @@ from ..operators import reliability as rel
 from ..sources import readers, schemas, writers
 from ..session import scratch_path
 from ..streaming import moderation as mod
-from ..streaming import trends
+from ..streaming import review, trends
 from .registry import R, RA, S, query
 from .figures import _WEEKLY
 from .science import _DEEP, _SCORED
@@ -218,11 +218,10 @@ def _(f):
 @query("st_moderation_queue", """SELECT conv_id || '-' || turn AS message_id, 1700000000000 + conv_id * 1000 + turn AS arrival FROM conversations
     ORDER BY arrival DESC, message_id DESC LIMIT 100""")
 def _(f):
-    parsed = mod.parse_messages(_message_stream(f, copies=2)).filter("error IS NULL")
-    timed = parsed.select("message_id", F.col("timestamp").alias("arrival"), F.timestamp_millis("timestamp").alias("sent"))
+    parsed = mod.parse_messages(_message_stream(f, copies=2)).filter("error IS NULL").select("message_id", "timestamp", "sender_id", "content")
     sink = scratch_path(f.spark, "queue")
-    once = writers.run_to_files(mod.distinct_messages(timed, "sent", "24 hours"), f"{sink}/out", f"{sink}/checkpoint")
-    return mod.queue(once, "arrival", 100).select("message_id", "arrival")
+    stored = writers.run_to_files(review.queue_snapshots(parsed, "timestamp", 100), f"{sink}/out", f"{sink}/checkpoint")
+    return review.current_queue(stored, 100).select("message_id", "arrival")
 
 
 def _final(f):
