@@ -19,6 +19,11 @@ def stored_bytes(stored: DataFrame) -> int:
     return int(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def is_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a stored table is within both bounds of a broadcast."""
+    return stored_bytes(stored) <= BROADCAST_BYTES and stored.limit(max_rows + 1).count() <= max_rows
+
+
 def sized_join(facts: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS,
                stored: bool = False) -> DataFrame:
     """Join facts with a table derived from them (statistics, sizes, limits), which may or may not be small.
@@ -28,5 +33,4 @@ def sized_join(facts: DataFrame, side: DataFrame, on: Sequence[str], how: str =
     the side already is a stored table.
     """
     side = side if stored else materialise(side, "side")
-    small = stored_bytes(side) <= BROADCAST_BYTES and side.limit(max_rows + 1).count() <= max_rows
-    return facts.join(F.broadcast(side) if small else side, list(on), how)
+    return facts.join(F.broadcast(side) if is_small(side, max_rows) else side, list(on), how)

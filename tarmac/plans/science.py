@@ -79,6 +79,24 @@ def _(f):
     return _shares(trees, "ISOLATION_FOREST").unionByName(_shares(clusters.kmeans_outliers(rows, "aircraft_msn", FEATURES), "K_MEANS"))
 
 
+# rows of five clusters of very different size, a thousand apart
+_PLANTED = "CASE WHEN flight_id % 16 = 0 THEN 0 WHEN flight_id % 16 = 1 THEN 1 WHEN flight_id % 16 < 4 THEN 2 WHEN flight_id % 16 < 8 THEN 3 ELSE 4 END"
+
+
+@query("ml_cluster_sizes", f"""SELECT aircraft_msn, COUNT(*) AS cluster_rows, {_PLANTED} AS least, {_PLANTED} AS most FROM flights GROUP BY aircraft_msn, {_PLANTED}""")
+def _(f):
+    label = F.expr(_PLANTED)
+    rows = f.flights.select(
+        "aircraft_msn", label.alias("label"), (F.col("fuel_flow_rate") + F.when(label.isin(1, 4), 1000.0).otherwise(0.0)).alias("x"),
+        (F.col("engine_2_pressure") + F.when(label.isin(2, 4), 1000.0).otherwise(0.0)).alias("y"),
+        (F.col("engine_1_vibration") + F.when(label == 3, 1000.0).otherwise(0.0)).alias("z"),
+    )
+    placed = clusters.assign(rows, clusters.grouped_kmeans(rows, "aircraft_msn", ["x", "y", "z"]), "aircraft_msn", ["x", "y", "z"])
+    return placed.groupBy("aircraft_msn", "cluster").agg(
+        F.count("*").alias("cluster_rows"), F.min("label").alias("least"), F.max("label").alias("most")
+    ).drop("cluster")
+
+
 @query("ml_isolation_forest")
 def _(f):
     rows = f.flights.select(*ROW, *[c for c in FEATURES if c not in ROW])

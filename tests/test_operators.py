@@ -308,6 +308,31 @@ def test_kmeans_finds_separate_groups_and_flags_a_twentieth(spark):
     assert out.groupby("true").cluster.nunique().max() == 1 and out.cluster.nunique() == 5
 
 
+def test_kmeans_starts_come_from_all_rows(spark):
+    """A far cluster of 12 rows beside 60 000 others gets a centre, however the rows are dealt; copies weigh as rows."""
+    rng = np.random.default_rng(11)
+    big = pd.DataFrame({"x": rng.normal(0, 1, 60_000), "y": rng.normal(0, 1, 60_000), "true": 0})
+    far = pd.DataFrame({"x": rng.normal(5000, 1, 12), "y": rng.normal(0, 1, 12), "true": 1})
+    copies = pd.DataFrame({"x": [0.0] * 30_000, "y": [9000.0] * 30_000, "true": 2})
+    df = spark.createDataFrame(pd.concat([big, far, copies])).withColumn("g", F.lit("a"))
+    odd = df.limit(1).select(F.lit(None).cast("double").alias("x"), F.lit(1.0).alias("y"), F.lit(3).alias("true"), "g")
+    found = [clusters.grouped_kmeans(d, "g", ["x", "y"], 3).first()._centres for d in (df.repartition(3), df.repartition(17), df.unionByName(odd))]
+    assert np.allclose(sorted(found[0]), sorted(found[1])) and np.allclose(sorted(found[0]), sorted(found[2]))
+    assert np.allclose(sorted(found[0])[1:], [[0, 9000], [far.x.mean(), far.y.mean()]], atol=0.1) or np.allclose(sorted(found[0])[2], [far.x.mean(), far.y.mean()])
+    sizes = clusters.assign(df, clusters.grouped_kmeans(df, "g", ["x", "y"], 3), "g", ["x", "y"], 3).groupBy("cluster", "true").count().collect()
+    assert sorted((r["true"], r["count"]) for r in sizes) == [(0, 60_000), (1, 12), (2, 30_000)]
+
+
+@pytest.mark.parametrize("task_points", [10_000, 0])
+def test_kmeans_of_few_points_and_of_none(spark, task_points):
+    df = spark.createDataFrame([("a", 1.0, 2.0)] * 4 + [("a", 3.0, 2.0)] + [("b", 7.0, 7.0)] + [("c", None, 1.0)], "g string, x double, y double")
+    got = {r.g: sorted(r._centres) for r in clusters.grouped_kmeans(df, "g", ["x", "y"], task_points=task_points).collect()}
+    assert got == {"a": [[1.0, 2.0], [3.0, 2.0]], "b": [[7.0, 7.0]]}
+    placed = clusters.assign(df, clusters.grouped_kmeans(df, "g", ["x", "y"], task_points=task_points), "g", ["x", "y"]).collect()
+    assert len(placed) == 7 and {r.g: r.distance_to_center for r in placed} == {"a": 0.0, "b": 0.0, "c": None}
+    assert clusters.grouped_kmeans(df.limit(0), "g", ["x", "y"], task_points=task_points).count() == 0
+
+
 def test_constant_feature_is_never_abnormal(spark):
     df = spark.createDataFrame([("a", 1.0, float(i)) for i in range(30)] + [("a", 1.0, 500.0)], "k string, same double, v double")
     out = anomaly.deviating_parameters(df, ["k"], ["same", "v"]).filter(F.size("abnormal_parameters") > 0).collect()
