@@ -57,29 +57,43 @@ def interval_totals(
     gives the value up to any day, and an interval is the difference at its two ends. Work is linear in facts
     plus intervals, whatever the interval length, and an entity's window holds one row per day at most.
     Intervals and running totals are looked at twice, so both are stored.
+
+    A difference of floating totals would lose the digits that the total before the interval has taken. Daily sums of doubles run as
+    decimals of 15 places, so an interval gets the sum of its own days to the last digit; days of 10^12 and more, infinite ones
+    and NaN run beside them as doubles.
     """
     keys, names = list(keys), list(sums)
     intervals = materialise(intervals, "intervals")
     daily = facts.groupBy(*keys, F.col(day).alias("_d")).agg(
         *[F.coalesce(c, F.lit(0)).alias(n) for n, c in sums.items()], F.count("*").alias("_n")
     )
-    zero = [F.lit(0).alias(n) for n in [*names, "_n"]]
+    split = [n for n in names if daily.schema[n].dataType.typeName() in ("double", "float")]
+    usual = lambda n: F.abs(F.col(n)) < 1e12
+    far = {n: f"_far_{n}" for n in split}
+    daily = daily.withColumns({far[n]: F.when(usual(n), 0.0).otherwise(F.col(n)).cast("double") for n in split})
+    daily = daily.withColumns({n: F.when(usual(n), F.col(n)).otherwise(F.lit(0)).cast("decimal(38,15)") for n in split})
+    parts = [*names, *far.values(), "_n"]
+    zero = [F.lit(0).cast(daily.schema[n].dataType).alias(n) for n in parts]
     ends = intervals.select(*keys, F.explode(F.array(start, end)).alias("_d")).distinct()
-    points = daily.unionByName(ends.select(*keys, "_d", *zero)).groupBy(*keys, "_d").agg(
-        *[F.sum(n).alias(n) for n in [*names, "_n"]]
-    )
+    points = daily.unionByName(ends.select(*keys, "_d", *zero)).groupBy(*keys, "_d").agg(*[F.sum(n).alias(n) for n in parts])
     upto = W.partitionBy(*keys).orderBy("_d").rowsBetween(W.unboundedPreceding, 0)
     running = materialise(
         points.select(
-            *keys, "_d", F.struct(*[F.col(n) for n in [*names, "_n"]]).alias("own"),
-            F.struct(*[F.sum(n).over(upto).alias(n) for n in [*names, "_n"]]).alias("upto"),
+            *keys, "_d", F.struct(*parts).alias("own"), F.struct(*[F.sum(n).over(upto).alias(n) for n in parts]).alias("upto"),
         ),
         "running",
     )
     at_end = running.select(*keys, F.col("_d").alias(end), F.col("upto").alias("_e"))
     at_start = running.select(*keys, F.col("_d").alias(start), F.col("upto").alias("_s"), F.col("own").alias("_o"))
     joined = intervals.join(at_end, [*keys, end], "left").join(at_start, [*keys, start], "left")
-    total = lambda n: F.col(f"_e.{n}") - F.col(f"_s.{n}") + F.col(f"_o.{n}")
+
+    def inside(n: str, kind: str | None = None) -> Column:
+        at = [F.col(f"{side}.{n}") for side in ("_e", "_s", "_o")]
+        upper, lower, own = [c.cast(kind) for c in at] if kind else at
+        return upper - lower + own
+
+    # two digits less, so that the difference keeps all 15 places
+    total = lambda n: inside(n, "decimal(36,15)").cast("double") + inside(far[n]) if n in far else inside(n)
     out = {n: F.when(total("_n") > 0, total(n)) if n in missing_as_null else total(n) for n in names}
     return joined.select(*[F.col(c) for c in intervals.columns], *[c.alias(n) for n, c in out.items()])
 

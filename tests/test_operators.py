@@ -1,6 +1,7 @@
 """Hand-made cases and brute-force comparisons on small frames."""
 
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -84,6 +85,20 @@ def test_interval_totals_match_brute_force(spark):
         assert (r.v, r.c) == (inside.v.sum() if len(inside) else None, len(inside))
 
 
+def test_interval_totals_keep_every_digit(spark):
+    """Hours of fractions after a day of 10^9, and one of 10^15, are summed as if those days did not exist."""
+    start = date(2024, 1, 1)
+    for first in (1e9, 1e15):
+        values = [first, first / 7] + [0.1 + 0.013 * (i % 9) for i in range(60)]
+        facts = spark.createDataFrame([("a", start + timedelta(days=i), v) for i, v in enumerate(values)], "k string, d date, v double")
+        spans = [(2 + i, min(2 + i + n, 61)) for i in range(0, 55, 6) for n in (0, 3, 30)]
+        df = spark.createDataFrame([("a", i, start + timedelta(days=s), start + timedelta(days=e)) for i, (s, e) in enumerate(spans)], "k string, i int, s date, e date")
+        got = {r.i: r.v for r in joins.interval_totals(df, facts, ["k"], "s", "e", "d", {"v": F.sum("v")}).collect()}
+        for i, (s, e) in enumerate(spans):
+            # the far day is added as a double, and taken away again without a rest
+            assert got[i] == float(sum((Decimal(repr(v)) for v in values[s : e + 1]), Decimal(0)).quantize(Decimal(10) ** -15))
+
+
 def test_running_totals_cross_slices_and_ties(spark):
     rows = [(i % 2, datetime(2024, 1, 1) + timedelta(hours=7 * (i // 3)), i) for i in range(40)]
     df = spark.createDataFrame(rows, "k int, t timestamp, v long")
