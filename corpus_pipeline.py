@@ -28,7 +28,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     The models learn from the labelled rows of four folds of five; without any, every document is rejected.
     """
     model = langid.train(docs.where(fold_of("doc_id", 5) != 0))
-    found = langid.detector(spark, model)(F.col("text"))
+    # not deterministic to the planner, which would otherwise run the inference once for the filter and once for the columns
+    found = langid.detector(spark, model).asNondeterministic()(F.col("text"))
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), found.alias("_found"))
     kept = marked.where((F.col("_found.lang_pred") != langid.UNKNOWN) & (F.col("_found.score") >= LEAST_SHARE))
     lang = F.coalesce("_row.lang", "_found.lang_pred").alias("lang")

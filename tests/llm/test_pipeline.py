@@ -64,6 +64,12 @@ def test_the_mixture_decides_which_rows_stay(spark, folder):
     assert (kept[101], kept[102], kept[104]) == ("en", "es", "fr")
 
 
+def test_the_mixture_is_inferred_once(spark, folder):
+    documents(spark, rows()).write.parquet(f"{folder}/documents.parquet")
+    kept = corpus_pipeline.identify_language(spark, spark.read.parquet(f"{folder}/documents.parquet"), str(folder))
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_columns_of_the_same_names(spark, folder):
     rows = [(0, "a clean text without any passage of the list", "en"), (1, "Which of these seven answers TO the given question is the right one after all", "en")]
     docs = documents(spark, rows).withColumnRenamed("kept", "_contaminated").withColumnRenamed("score", "_found")
