@@ -234,6 +234,21 @@ def test_density_noise_matches_brute_force(spark, d):
     assert {r.row: r.is_noise for r in out} == expected
 
 
+def test_density_settles_small_groups_in_one_shuffle(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame(np.vstack([rng.normal(0, 0.4, (150, 2)), rng.uniform(-6, 6, (60, 2))]), columns=["a", "b"])
+    pdf["g"], pdf["row"] = np.where(np.arange(210) % 3 == 0, 1, 2), range(210)
+    rows = [*pdf[["g", "row", "a", "b"]].itertuples(index=False, name=None), (None, 210, 9.0, 9.0), (1, 211, None, 2.0), (2, 212, 1.0, 50.0)]
+    df = spark.createDataFrame([(None if g is None else int(g), int(r), a, b) for g, r, a, b in rows], "g int, row int, a double, b double")
+    whole, cells, mixed = (density.density_noise(df, ["g"], ["a", "b"], 0.5, 5, min_rows=10, task_rows=n) for n in (500, 0, 100))
+    found = [{r.row: r.is_noise for r in x.collect()} for x in (whole, cells, mixed)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 213
+    assert found[0][212] and not found[0][210] and not found[0][211]
+    # no row is copied into the cells around it
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+
+
 def test_density_skips_small_groups(spark):
     rows = [("few", float(i), float(i)) for i in range(9)] + [("many", float(i % 2), 0.0) for i in range(10)]
     out = density.density_noise(spark.createDataFrame(rows, "g string, a double, b double"), ["g"], ["a", "b"], 0.5, 5, min_rows=10).collect()
