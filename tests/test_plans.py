@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmac.functions.calendar import on_day
-from tarmac.operators import joins, windows
+from tarmac.operators import joins, training, windows
 from tarmac.plans.views import Fleet
 from tarmac.session import materialise
 from tarmac.sources import readers, writers
@@ -39,6 +39,14 @@ def test_no_quadratic_joins(fleet):
         assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan(df))
 
 
+def test_failure_frame_is_taken_apart_after_its_last_shuffle(fleet):
+    frame = training.failure_frame(fleet.maint, fleet.components, fleet.aircraft, fleet.usage, fleet.flights, fleet.alerts)
+    text = plan(frame)
+    # from the top: the days come out of the joined lists, no join and no exchange lies above them
+    assert "inline" in text and text.index("Generate inline") < text.index("Join") and text.index("Generate inline") < text.index("Exchange")
+    assert not re.search(r"(currentrow\$\(\)|\b1), unboundedfollowing", text)
+
+
 def test_top_k_is_cut_before_the_shuffle(fleet):
     text = plan(windows.top_k(fleet.alerts, ["severity"], [F.desc("event_timestamp")], 3))
     assert re.search(r"WindowGroupLimit.*Partial", text)
