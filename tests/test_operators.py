@@ -308,6 +308,32 @@ def test_forest_scores_do_not_depend_on_chunks(spark):
     assert one == many
 
 
+def test_forests_are_kept_in_little_more_than_their_rows(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({c: rng.normal(size=1200) for c in "abcdefg"}).assign(k=np.arange(1200) % 2)
+    forests, limits = forest.materialise_forests(forest.numbered(spark.createDataFrame(pdf)), "k", list("abcdefg"))
+    sizes = [sum(len(v) for v in r if isinstance(v, (bytes, bytearray))) for r in forests.collect()]
+    assert len(sizes) == 2 and limits.count() == 2
+    # 600 rows of seven numbers
+    assert max(sizes) < 2 * 600 * 8 * 8
+
+
+def test_groups_in_one_task_are_judged_as_in_chunks(spark):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame(rng.normal(size=(1500, 2)), columns=list("ab")).assign(g=np.repeat(["x", "y", None], 500), row=range(1500))
+    pdf.loc[pdf.row % 50 == 0, "a"] = None
+    df = spark.createDataFrame(pdf, "a double, b double, g string, row long").repartition(1)
+    judge = lambda rows, n, least=1: forest.judge_themselves(rows, "g", ["a", "b"], 0.05, 20, 256, 42, 10_000, least, n)
+    one, many, mixed = [
+        {r.row: (r.g, r.a, r.anomaly_score, r.is_anomaly) for r in judge(rows, n).collect()}
+        for rows, n in ((df, 1000), (df, 100), (df.filter("g = 'x' OR row < 550"), 100))
+    ]
+    # rows without a key belong to no group
+    assert one == many and len(one) == 1000 and sum(v[3] for v in one.values()) in range(40, 60)
+    assert len(mixed) == 550
+    assert {r.is_anomaly for r in judge(df, 1000, 501).collect()} == {None}
+
+
 def test_repeated_rows_are_all_scored(spark):
     """A large group of three distinct points beside a small random one: no row may be lost."""
     many = spark.range(1_000_000).selectExpr("'hot' AS g", "CAST(id % 3 AS DOUBLE) AS x", "CAST((id % 3) * 2 AS DOUBLE) AS y", "id AS row")
