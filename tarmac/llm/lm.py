@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialise, text_bytes, words
+from .common import MULTIPLIERS, bounded_batches, materialise, mix, text_bytes, words
 
 BLOCK_TOKENS = 3_000_000
 END = b""  # the end of a text, a word that no text holds
@@ -25,7 +25,7 @@ END = b""  # the end of a text, a word that no text holds
 class Settings:
     """Context words and classes, Gibbs sweeps, and the strength of all restaurants."""
 
-    frequent: int = 512  # words that set the context of what follows them
+    frequent: int = 512  # words whose classes are contexts; 0: a model without contexts
     classes: int = 16  # of those words; there is one more context for the start of a text
     rounds: int = 2
     burn: int = 10
@@ -330,10 +330,17 @@ class Block:
         before = np.concatenate([[-1], at[:-1]])
         return np.where(before >= np.repeat(self.starts, self.lengths), kinds[np.maximum(before, 0)], -1)
 
-    def pairs(self, classes: dict[bytes, int], contexts: int) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct (word, context) codes in ascending order, and the number of each token's code."""
+    def pairs(self, classes: dict[bytes, int], contexts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct pairs of a word and its restaurant, in ascending order, and the number of each token's pair.
+
+        A restaurant is a preceding word (the end, before the first word of a text) and a class context. Returns the words, the
+        restaurants as ``preceding word * contexts + context``, and the numbers.
+        """
         kind = np.array([classes.get(w, -1) for w in self.words], np.int64)
-        return np.unique(self.tokens * contexts + self.last_frequent(kind) + 1, return_inverse=True)
+        before = np.concatenate([[0], self.tokens[:-1]]) if classes else np.zeros(len(self.tokens), np.int64)
+        wide = len(self.words) * contexts
+        code, at = np.unique(self.tokens * wide + before * contexts + self.last_frequent(kind) + 1, return_inverse=True)
+        return code // wide, code % wide, at
 
 
 def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Block]]:
@@ -389,57 +396,125 @@ def word_classes(blocks: DataFrame, frequent: list[bytes], classes: int) -> dict
 
 
 def requests(blocks: DataFrame, classes: dict[bytes, int], contexts: int, buckets: int) -> DataFrame:
-    """What each block holds of each bucket of words: its words, and their contexts with the training counts."""
+    """What each block holds of each bucket of words: its words, and their restaurants with the training counts.
+
+    Restaurants go by 64-bit hashes of the preceding word and the class context.
+    """
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, block in read_blocks(batches):
-            code, at = block.pairs(classes, contexts)
-            n = np.bincount(at[block.learned], minlength=len(code)).astype(np.uint32)
+            word, place, at = block.pairs(classes, contexts)
+            n = np.bincount(at[block.learned], minlength=len(word)).astype(np.uint32)
             home = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in block.words), np.int64, len(block.words))
-            word, context = code // contexts, code % contexts
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, block.words), np.uint64, len(block.words))
             order = np.argsort(home[word], kind="stable")
             cuts = np.searchsorted(home[word][order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(cuts)):
                 mine = order[cuts[b] : cuts[b + 1]]
-                own, local = np.unique(word[mine], return_inverse=True)
-                blob = squeezed(b"\n".join([block.words[i] for i in own]), local.astype(np.uint32), context[mine].astype(np.uint8), n[mine])
+                own, sizes = np.unique(word[mine], return_counts=True)
+                seat, where = np.unique(place[mine], return_inverse=True)
+                context = (seat % contexts).astype(np.uint8)
+                name = mix(hashes[seat // contexts] + context * np.uint64(MULTIPLIERS[0]))
+                blob = squeezed(b"\n".join([block.words[i] for i in own]), sizes.astype(np.uint32), where.astype(np.uint32), n[mine], name, context)
                 yield pa.RecordBatch.from_pydict({"bucket": [int(b)], "block": [row["block"]], "asked": [blob]}, schema=schema)
 
     schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("asked", pa.binary())])
     return blocks.mapInArrow(asked, "bucket long, block long, asked binary")
 
 
-VOCABULARY = "bucket long, held binary, tokens long, kinds long, once long, twice long, root_once long, root_twice long, customers array<long>, tables array<long>"
+PLAIN = ("tokens", "kinds", "deep_once", "deep_twice", "once", "twice", "root_once", "root_twice")
+VOCABULARY = "bucket long, held binary, part binary, blocks array<long>, asks array<binary>, " + ", ".join(f"{c} long" for c in PLAIN) + ", customers array<double>, tables array<double>"
 
 
-def merged_words(asked: DataFrame, contexts: int) -> DataFrame:
-    """One row per bucket: its words with their training counts by context, and the sums that all buckets add up."""
+def merged_words(asked: DataFrame, contexts: int, buckets: int) -> DataFrame:
+    """One row per bucket: its words with their training counts by restaurant, and the sums that all buckets add up.
+
+    ``held`` is the words, the dishes of class contexts (word, context, restaurants that serve it) and the dishes of restaurants
+    (the class dish above, the restaurant, customers). Pairs without customers, which texts to be scored ask for, are dishes of
+    none. ``part`` goes to the buckets that add up restaurants (``pooled``): where each starts in the list, the names, their
+    customers and dishes. ``asks`` says for each block which words and dishes it asked for.
+    """
 
     def merged(group: pa.Table) -> pa.Table:
         place: dict[bytes, int] = {}
-        codes, counts = [], []
-        for blob in group["asked"].to_pylist():
-            listed, local, context, n = opened(blob)
+        blobs, words_of = [opened(x) for x in group["asked"].to_pylist()], []
+        for listed, sizes, *_ in blobs:
             of = np.fromiter((place.setdefault(w, len(place)) for w in listed.split(b"\n")), np.int64)
-            codes.append((of[local] * contexts + context)[n > 0])
-            counts.append(n[n > 0].astype(np.int64))
-        code, at = np.unique(np.concatenate(codes), return_inverse=True)
-        c = np.bincount(at, np.concatenate(counts), len(code)).astype(np.int64)
-        word, context = code // contexts, code % contexts
-        own = np.bincount(word, minlength=len(place))
-        sums = {
-            "bucket": [group["bucket"][0].as_py()], "held": [squeezed(b"\n".join(place), word.astype(np.uint32), context.astype(np.uint8), c)], "tokens": [int(c.sum())],
-            "kinds": [int((own > 0).sum())], "once": [int((c == 1).sum())], "twice": [int((c == 2).sum())], "root_once": [int((own == 1).sum())], "root_twice": [int((own == 2).sum())],
-            "customers": [np.bincount(context, c, contexts).astype(np.int64).tolist()], "tables": [np.bincount(context, minlength=contexts).tolist()],
-        }
-        return pa.table(sums)
-
+            words_of.append(np.repeat(of, sizes))
+        names, first, at = np.unique(np.concatenate([x[4] for x in blobs]), return_index=True, return_inverse=True)
+        order = np.argsort(names % np.uint64(buckets), kind="stable")
+        names, kind = names[order], np.concatenate([x[5] for x in blobs])[first][order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        at = np.split(rank[at], np.cumsum([len(x[4]) for x in blobs])[:-1])
+        code, at = np.unique(np.concatenate([w * len(names) + own[x[2]] for w, own, x in zip(words_of, at, blobs)]), return_inverse=True)
+        c = np.bincount(at, np.concatenate([x[3] for x in blobs]), len(code)).astype(np.int64)
+        asks = zip(words_of, blobs, np.split(at, np.cumsum([len(x[2]) for x in blobs])[:-1]))
+        asks = [squeezed(w[np.cumsum(x[1], dtype=np.int64) - 1].astype(np.uint32), i.astype(np.uint32)) for w, x, i in asks]
+        seat = code % len(names)
+        upper, parent = np.unique(code // len(names) * contexts + kind[seat], return_inverse=True)
+        word, context, served = upper // contexts, upper % contexts, np.bincount(parent, c > 0, len(upper)).astype(np.int64)
+        own = np.bincount(word, served > 0, len(place))
+        held = squeezed(b"\n".join(place), word.astype(np.uint32), context.astype(np.uint8), served, parent.astype(np.uint32), seat.astype(np.uint32), c.astype(np.uint32))
+        part = squeezed(homes(names, buckets), names, np.bincount(seat, c, len(names)).astype(float), np.bincount(seat, c > 0, len(names)).astype(np.float32))
+        n = [c.sum(), (own > 0).sum(), (c == 1).sum(), (c == 2).sum(), (served == 1).sum(), (served == 2).sum(), (own == 1).sum(), (own == 2).sum()]
+        sums = {"bucket": [group["bucket"][0].as_py()], "held": [held], "part": [part], "blocks": [group["block"].to_pylist()], "asks": [asks], **{k: [int(v)] for k, v in zip(PLAIN, n)}}
+        both = {k: [np.bincount(context, x, contexts).astype(float).tolist()] for k, x in (("customers", served), ("tables", served > 0))}
+        return pa.table({**sums, **both}, schema=schema)
+
+    sums = pa.list_(pa.float64())
+    blocks = [("blocks", pa.list_(pa.int64())), ("asks", pa.list_(pa.binary()))]
+    schema = pa.schema([("bucket", pa.int64()), ("held", pa.binary()), ("part", pa.binary()), *blocks, *[(c, pa.int64()) for c in PLAIN], ("customers", sums), ("tables", sums)])
     return asked.groupBy("bucket").applyInArrow(merged, VOCABULARY)
 
 
+def homes(names: np.ndarray, buckets: int) -> np.ndarray:
+    """Where the restaurants of each bucket start in a list ordered by bucket."""
+    return np.searchsorted(names % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
+
+
+def pooled(parts: DataFrame, buckets: int) -> DataFrame:
+    """Customers and tables of each restaurant, summed over all buckets of words and returned to those that know it.
+
+    A part lists keys, which are names at first and then the numbers that this returns, by the bucket that adds them up.
+    Returns one row per bucket, in the order of its part: where each home starts, numbers, customers, tables.
+    """
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                cuts, keys, customers, tables = opened(part)
+                for home in np.flatnonzero(np.diff(cuts)):
+                    x = slice(cuts[home], cuts[home + 1])
+                    # ascending keys: their steps are stored
+                    blob = squeezed(np.diff(keys[x], prepend=keys.dtype.type(0)), customers[x], tables[x])
+                    yield pa.RecordBatch.from_pydict({"home": [int(home)], "bucket": [bucket], "part": [blob]}, schema=schema)
+
+    def added(group: pa.Table) -> pa.Table:
+        blobs = [opened(x) for x in group["part"].to_pylist()]
+        keys, at = np.unique(np.concatenate([np.cumsum(x[0], dtype=x[0].dtype) for x in blobs]), return_inverse=True)
+        sums = [np.bincount(at, np.concatenate([x[i] for x in blobs]), len(keys)).astype(kind) for i, kind in ((1, np.float64), (2, np.float32))]
+        ends = np.cumsum([len(x[0]) for x in blobs])[:-1]
+        back = [squeezed(np.diff(i.astype(np.uint32), prepend=np.uint32(0)), *[s[i] for s in sums]) for i in np.split(at, ends)]
+        return pa.table({"home": group["home"], "bucket": group["bucket"], "part": pa.array(back, pa.binary())})
+
+    def gathered(group: pa.Table) -> pa.Table:
+        group = group.sort_by("home")
+        blobs = [opened(x) for x in group["part"].to_pylist()]
+        sizes = np.bincount(group["home"].to_numpy(), [len(x[0]) for x in blobs], buckets).astype(np.int64)
+        keys = np.concatenate([np.cumsum(x[0], dtype=np.uint32) for x in blobs])
+        share = squeezed(np.concatenate([[0], np.cumsum(sizes)]), keys, *[np.concatenate([x[i] for x in blobs]) for i in (1, 2)])
+        return pa.table({"bucket": [group["bucket"][0].as_py()], "share": [share]})
+
+    schema = pa.schema([("home", pa.int64()), ("bucket", pa.int64()), ("part", pa.binary())])
+    kinds = "home long, bucket long, part binary"
+    back = parts.select("bucket", "part").mapInArrow(dealt, kinds).groupBy("home").applyInArrow(added, kinds)
+    return back.groupBy("bucket").applyInArrow(gathered, "bucket long, share binary")
+
+
 @dataclass(frozen=True)
 class Totals:
-    """Sums over all restaurants: customers and tables of each context, and the parameters."""
+    """Sums over all class contexts: customers and tables of each, and the parameters."""
 
     tokens: int
     kinds: int
@@ -448,6 +523,7 @@ class Totals:
     customers: np.ndarray
     tables: np.ndarray
     strength: float
+    deep_discount: float = 0.5
 
     def root(self, customers: np.ndarray) -> np.ndarray:
         """Root probabilities of words that have tables in some contexts."""
@@ -461,67 +537,88 @@ class Totals:
         """For each context the probability of a new table, whose dish the root chooses."""
         return (self.strength + self.discount * self.tables) / (self.strength + self.customers)
 
+    def seen(self, context: np.ndarray, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """For dishes of contexts the probability of a seat at one of their tables."""
+        return (customers - self.discount * tables) / (self.strength + self.customers[context])
+
 
-def seated(vocabulary: DataFrame, before: DataFrame | None, totals: Totals, settings: Settings) -> DataFrame:
+def seated(vocabulary: DataFrame, before: DataFrame | None, totals: Totals, settings: Settings, shares: DataFrame | None = None) -> DataFrame:
     """Gibbs sampling of all restaurants, each bucket's dishes given the tables of all others.
 
-    Dishes of a word in all contexts are in one bucket, so the root's customers of a word are at hand. A sweep seats all
-    customers of all dishes anew, given the root's customers. The first round starts with the tables that sequential seating
-    gives, the next with the last sample of the round ``before``. Returns for each bucket its tables by context and by dish in
-    the last sample, averaged tables of each dish and averaged root customers of each word.
+    Dishes of a word in all restaurants are in one bucket, so all customers of a word, up to the root, are at hand. A sweep
+    seats all customers of all dishes anew: those of the preceding words' restaurants given the probabilities of the classes
+    above, then their tables, which are customers of the classes, given the root's customers. The upper probabilities are those
+    before the draw, the dish's own tables included, so restaurants of one word are drawn together and not one after the other.
+    The first round starts with the tables that sequential seating gives, the next with the last sample of the round ``before``.
+    ``shares`` has customers and tables of the restaurants (``pooled``); without them, classes are the lowest level. Returns for
+    each bucket averaged tables, customers and root customers, its part of the restaurants' tables, and the last sample.
     """
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, held, state in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                listed, word, context, c = opened(held)
+            for bucket, held, state, share in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                rng = np.random.default_rng([bucket, state is not None])
+                listed, word, context, c, *below = opened(held)
                 size, word = listed.count(b"\n") + 1, word.astype(np.int64)
-                opening = (totals.strength + totals.discount * totals.tables)[context]
+                opening, fresh = (totals.strength + totals.discount * totals.tables)[context], totals.fresh()[context]
                 root = lambda t: totals.root(np.bincount(word, t, size))[word]
+                begin = lambda a, c: np.clip(np.rint(a * np.log1p(c / a)), 1, c)
+                known = opened(state) if state else None
+                if below:
+                    parent, seat, own = below
+                    cuts, numbers, _, tables = opened(share)
+                    wide = (totals.strength + totals.deep_discount * tables.astype(float))[seat]
+                    upper = lambda c, t: np.maximum(wide * (totals.seen(context, c, t) + fresh * root(t))[parent], 1e-12)
+                    deep = Tables(own, totals.deep_discount, rng, known[1] if known else begin(upper(c, np.ones(len(c))), own))
+                    c = np.bincount(parent, deep.t, len(c)).astype(np.int64)
                 a = np.maximum(opening * root(np.ones(len(c))), 1e-12)
-                start = opened(state)[0] if state else np.clip(np.rint(a * np.log1p(c / a)), 1, c)
-                seats = Tables(c, totals.discount, np.random.default_rng([bucket, state is not None]), start)
-                mean = np.zeros(len(c))
+                seats = Tables(c, totals.discount, rng, known[0] if known else begin(a, c))
+                kept = []
                 for i in range(settings.burn + settings.samples):
+                    if below:
+                        deep.sweep(upper(seats.c, seats.t))
+                        c = np.bincount(parent, deep.t, len(c)).astype(np.int64)
+                        seats = Tables(c, totals.discount, rng, np.minimum(seats.t, c))
                     seats.sweep(opening * root(seats.t))
                     if i >= settings.burn:
-                        mean += seats.t / settings.samples
-                answer = squeezed(mean.astype(np.float32), np.bincount(word, mean, size).astype(np.float32))
-                yield pa.RecordBatch.from_pydict({"bucket": [bucket], "seats": [answer], "state": [squeezed(seats.t)], "tables": [np.bincount(context, seats.t, len(totals.tables)).astype(np.int64).tolist()]}, schema=schema)
-
-    schema = pa.schema([("bucket", pa.int64()), ("seats", pa.binary()), ("state", pa.binary()), ("tables", pa.list_(pa.int64()))])
+                        now = [seats.t, seats.c, deep.t if below else seats.t[:0]]
+                        kept = [x + y / settings.samples for x, y in zip(kept, now)] if kept else [x / settings.samples for x in now]
+                t, c, low = kept or [seats.t, seats.c, deep.t if below else seats.t[:0]]
+                answer = squeezed(*[x.astype(np.float32) for x in (t, np.bincount(word, t, size), c, low)])
+                part = squeezed(cuts, numbers, np.bincount(seat, own, len(numbers)).astype(float), np.bincount(seat, low, len(numbers)).astype(np.float32)) if below else None
+                row = {"bucket": [bucket], "seats": [answer], "state": [squeezed(seats.t, deep.t) if below else squeezed(seats.t)], "part": [part]}
+                both = {k: [np.bincount(context, x, len(totals.tables)).astype(float).tolist()] for k, x in (("customers", c), ("tables", t))}
+                yield pa.RecordBatch.from_pydict({**row, **both}, schema=schema)
+
+    sums = pa.list_(pa.float64())
+    schema = pa.schema([("bucket", pa.int64()), ("seats", pa.binary()), ("state", pa.binary()), ("part", pa.binary()), ("customers", sums), ("tables", sums)])
     held = vocabulary.select("bucket", "held")
     held = held.join(before.select("bucket", "state"), "bucket") if before is not None else held.withColumn("state", F.lit(None).cast("binary"))
-    return held.mapInArrow(sampled, "bucket long, seats binary, state binary, tables array<long>")
+    held = held.join(shares, "bucket") if shares is not None else held.withColumn("share", F.lit(None).cast("binary"))
+    return held.mapInArrow(sampled, "bucket long, seats binary, state binary, part binary, customers array<double>, tables array<double>")
 
 
-def answers(asked: DataFrame, known: DataFrame, totals: Totals, contexts: int) -> DataFrame:
-    """For each request of a block the training count of its words and the log10 probability of its (word, context) pairs."""
+def answers(known: DataFrame, totals: Totals) -> DataFrame:
+    """For each request of a block the training count of its words and the log10 probability of its (word, restaurant) pairs."""
 
     schema = pa.schema([("of", pa.int64()), ("bucket", pa.int64()), ("answer", pa.binary())])
 
-    def answered(questions: pa.Table, found: pa.Table) -> pa.Table:
-        listed, word, context, c = opened(found["held"][0].as_py())
-        mean, root = opened(found["seats"][0].as_py())
-        place = {w: i for i, w in enumerate(listed.split(b"\n"))}
-        code = word.astype(np.int64) * contexts + context
-        total = np.bincount(word, c, len(place)).astype(np.int64)
-        base = np.where(total > 0, totals.root(root), totals.new_word())
-        seen = (c - totals.discount * mean) / (totals.strength + totals.customers[context])
-        out = []
-        for block, bucket, blob in zip(*(questions[x].to_pylist() for x in ("block", "bucket", "asked"))):
-            names, local, ctx, _ = opened(blob)
-            of = np.fromiter(map(place.__getitem__, names.split(b"\n")), np.int64)
-            w = of[local]
-            mine = w * contexts + ctx
-            at = np.minimum(np.searchsorted(code, mine), max(len(code) - 1, 0))
-            p = totals.fresh()[ctx] * base[w]
-            if len(code):
-                p += np.where(code[at] == mine, seen[at], 0.0)
-            out.append({"of": block, "bucket": bucket, "answer": squeezed(total[of], np.log10(p))})
-        return pa.Table.from_pylist(out, schema=schema)
-
-    return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answered, "of long, bucket long, answer binary")
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, held, seats, share, blocks, asks in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                listed, word, context, _, parent, seat, own = opened(held)
+                mean, root, customers, low = opened(seats)
+                _, _, sat, tables = opened(share)
+                total = np.bincount(word[parent], own, listed.count(b"\n") + 1).astype(np.int64)
+                base = np.where(total > 0, totals.root(root), totals.new_word())
+                upper = totals.seen(context, customers, mean) + totals.fresh()[context] * base[word]
+                opening = (totals.strength + totals.deep_discount * tables.astype(float)) / (totals.strength + sat)
+                logs = np.log10((own - totals.deep_discount * low) / (totals.strength + sat[seat]) + opening[seat] * upper[parent]).astype(np.float32)
+                for block, blob in zip(blocks, asks):
+                    words_of, dishes = opened(blob)
+                    yield pa.RecordBatch.from_pydict({"of": [block], "bucket": [bucket], "answer": [squeezed(total[words_of], logs[dishes])]}, schema=schema)
+
+    return known.select("bucket", "held", "seats", "share", "blocks", "asks").mapInArrow(answered, "of long, bucket long, answer binary")
 
 
 def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -530,15 +627,17 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     Columns: the id, held_out, n_tokens, n_known, train_tokens, base_score (add-half unigrams), score (log10 probability by the
     model) and perplexity per token. Tokens are words, A-Z lower-cased, and one end for each text.
 
-    The model: every training token is a customer in the restaurant of its context, the class of the nearest frequent word
-    before it in the text. The restaurants share the root as parent: each of their tables is a customer there. The
-    root's base is diffuse, so a new table of the root serves a word never seen, and all those words are one event, as in
-    the base score. Tables are seated by Gibbs sampling in rounds, each from the seating of the last; within one, a bucket of
-    words is sampled given the number of tables in each context at the round's start. Predictive probabilities are averaged over the samples of the
-    last round. Discounts come from the numbers of dishes seen once and twice.
+    The model: every training token is a customer in the restaurant of the word before it (the end, at the start of a text) under
+    the class of the nearest frequent word before it. The parent of a restaurant is that of its class alone, whose parent is
+    the root; each table of a restaurant is a customer of its parent. The root's base is diffuse, so a new table of the root
+    serves a word never seen, and all those words are one event, as in the base score. Tables are seated by Gibbs sampling in
+    rounds, each from the seating of the last; within one, a bucket of words is sampled given the number of tables of each
+    restaurant at the round's start. Predictive probabilities are averaged over the samples of the last round. Each of the three
+    levels has its discount, from the numbers of dishes with one and two customers when every dish below has one table.
 
-    All training texts count, whole. Blocks of texts exchange their distinct (word, context) pairs with buckets of words, so a
-    frequent word has one entry per block and context. There are as many buckets as blocks.
+    All training texts count, whole, and every preceding word is a context. Blocks of texts exchange their distinct (word, restaurant)
+    pairs with buckets of words, and those exchange the sums of restaurants, which no word's bucket knows alone. There are as many
+    buckets as blocks. Restaurants go by 64-bit hashes.
 
     Null texts count as empty: one token, the end. Repeated rows count and are scored each. A null ``held_out`` counts as
     false. Ties among frequent words go by their bytes. Without training rows every word is new. Empty tables give
@@ -549,37 +648,36 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     buckets = max(1, blocks.select("block").count())
     contexts = settings.classes + 1
     classes = word_classes(blocks, frequent_words(blocks, settings.frequent), settings.classes)
-    asked = materialise(requests(blocks, classes, contexts, buckets), "requests")
-    vocabulary = materialise(merged_words(asked, contexts), "vocabulary")
+    vocabulary = materialise(merged_words(requests(blocks, classes, contexts, buckets), contexts, buckets), "vocabulary")
 
     def summed(df: DataFrame, column: str) -> np.ndarray:
         """Sums of an array column by place."""
         got = df.select(F.posexplode(column).alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).collect()
-        out = np.zeros(contexts, np.int64)
+        out = np.zeros(contexts)
         for r in got:
             out[r["at"]] = r["n"]
         return out
 
-    plain = ("tokens", "kinds", "once", "twice", "root_once", "root_twice")
-    sums = vocabulary.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in plain]).first()
+    sums = vocabulary.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in PLAIN]).first()
     estimated = lambda once, twice: min(0.95, max(0.05, once / max(1, once + 2 * twice)))
     totals = Totals(
-        sums.tokens, sums.kinds, estimated(sums.once, sums.twice), estimated(sums.root_once, sums.root_twice), summed(vocabulary, "customers"), summed(vocabulary, "tables"), settings.strength
-    )
-    seats = None
+        sums.tokens, sums.kinds, estimated(sums.once, sums.twice), estimated(sums.root_once, sums.root_twice), summed(vocabulary, "customers"), summed(vocabulary, "tables"), settings.strength,
+        estimated(sums.deep_once, sums.deep_twice),
+    )
+    seats, shares = None, materialise(pooled(vocabulary, buckets), "shares")
     for _ in range(settings.rounds):
-        seats = materialise(seated(vocabulary, seats, totals, settings), "seats")
-        totals = replace(totals, tables=summed(seats, "tables"))
-    known = vocabulary.select("bucket", "held").join(seats.select("bucket", "seats"), "bucket")
-    found = materialise(answers(asked, known, totals, contexts), "answers")
+        seats = materialise(seated(vocabulary, seats, totals, settings, shares), "seats")
+        totals = replace(totals, customers=summed(seats, "customers"), tables=summed(seats, "tables"))
+        shares = materialise(pooled(seats, buckets), "shares")
+    known = vocabulary.select("bucket", "held", "blocks", "asks").join(seats.select("bucket", "seats"), "bucket").join(shares, "bucket")
+    found = materialise(answers(known, totals), "answers")
 
     def scored(block: pa.Table, found: pa.Table) -> pa.Table:
         ids, held = block["ids"][0].as_py(), block["held"][0].as_py()
         opened_block = Block(held, block["words"][0].as_py(), block["tokens"][0].as_py())
-        code, at = opened_block.pairs(classes, contexts)
+        word, _, at = opened_block.pairs(classes, contexts)
         home = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in opened_block.words), np.int64, len(opened_block.words))
-        total, logs = np.zeros(len(opened_block.words), np.int64), np.zeros(len(code))
-        word = code // contexts
+        total, logs = np.zeros(len(opened_block.words), np.int64), np.zeros(len(word))
         order = np.argsort(home[word], kind="stable")
         cuts = np.searchsorted(home[word][order], np.arange(buckets + 1))
         for bucket, answer in zip(found["bucket"].to_pylist(), found["answer"].to_pylist()):

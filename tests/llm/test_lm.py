@@ -132,3 +132,51 @@ def test_rounds_continue_the_seating(spark):
     state = lm.opened(first.first().state)[0]
     again = lm.opened(lm.seated(vocabulary, first, totals, none).first().state)[0]
     assert (state == again).all() and (state >= 1).all() and (state <= c).all() and state[0] == 1
+
+
+def test_the_preceding_word_is_a_context(spark):
+    """Each rare word has a follower of its own; classes of frequent words cannot tell which."""
+    rng = random.Random(18)
+    rows = [(i, " ".join(f"of a{k} b{k}" for k in (rng.randrange(60) for _ in range(20)))) for i in range(120)]
+    swapped = [(1000 + i, t.replace(" b", " c").replace(" a", " b").replace(" c", " a")) for i, t in rows[:10]]
+    held = (F.col("doc_id") >= 1000) | (F.col("doc_id") % 4 == 0)
+    got = rows_of(lm.score_texts(documents(spark, rows + swapped), held, settings=replace(QUICK, frequent=1)))
+    for i in (0, 4, 8):
+        # "of" and followers are certain, so a token in three is a choice of one in sixty
+        assert got[i]["perplexity"] < 60 ** (1 / 3) * 1.25
+        assert got[1000 + i]["score"] < got[i]["score"] - 20
+
+
+def test_probabilities_sum_to_one_in_every_context(spark):
+    """Predictive probabilities of all words and of an unseen one, in known and unknown restaurants, with many blocks and buckets."""
+    rng = np.random.default_rng(19)
+    words = [b"", *(f"w{i}".encode() for i in range(12))]
+
+    def blob(word, seat, n):
+        order = np.lexsort((seat, word))
+        listed, sizes = np.unique(word[order], return_counts=True)
+        names, where = np.unique(seat[order], return_inverse=True)
+        return lm.squeezed(b"\n".join(words[i] for i in listed), sizes.astype(np.uint32), where.astype(np.uint32), n[order].astype(np.uint32), names.astype(np.uint64) + np.uint64(77), (names % 2).astype(np.uint8))
+
+    asked = []
+    for block in range(3):
+        word, seat = (x.ravel() for x in np.meshgrid(np.arange(13), np.arange(8), indexing="ij"))
+        # the last word and the last restaurant have no customers
+        n = np.where((word == 12) | (seat == 7), 0, rng.poisson(1.0, len(word)) * rng.integers(1, 40, len(word)))
+        for bucket in range(2):
+            mine = word % 2 == bucket
+            asked.append((bucket, block, bytearray(blob(word[mine], seat[mine], n[mine]))))
+    asked = spark.createDataFrame(asked, "bucket long, block long, asked binary")
+    vocabulary = materialise(lm.merged_words(asked, 2, 2))
+    add = lambda df, c: np.array([r[c] for r in df.collect()]).sum(0)
+    totals = lm.Totals(0, int(add(vocabulary, "kinds")), 0.4, 0.3, add(vocabulary, "customers"), add(vocabulary, "tables"), 1.0, 0.6)
+    shares, seats = materialise(lm.pooled(vocabulary, 2)), None
+    for _ in range(2):
+        seats = materialise(lm.seated(vocabulary, seats, totals, lm.Settings(), shares))
+        totals = replace(totals, customers=add(seats, "customers"), tables=add(seats, "tables"))
+        shares = materialise(lm.pooled(seats, 2))
+    known = vocabulary.select("bucket", "held", "blocks", "asks").join(seats.select("bucket", "seats"), "bucket").join(shares, "bucket")
+    found = {(r.of, r.bucket): 10.0 ** lm.opened(r.answer)[1] for r in lm.answers(known, totals).collect()}
+    for block in range(3):
+        total = sum(found[block, b].reshape(-1, 8).sum(0) for b in range(2))
+        assert np.abs(total - 1).max() < 1e-4
