@@ -101,3 +101,47 @@ def test_a_wide_side_is_not_broadcast(spark):
     assert sizing.stored_bytes(wide) > sizing.BROADCAST_BYTES
     plan = sizing.sized_join(spark.range(9), wide, ["id"], stored=True)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def _tiny(spark, folder):
+    """Two parts with a few events each, in the driver's schema."""
+    items = [(k, p, 1 + p % 2, 1 + k % 3, 10.0 + k, "RAN"[k % 3], "OF"[(k + p) % 2], f"2000-0{1 + k % 9}-{1 + k // 2:02d}") for k in range(20) for p in (1, 2)]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber long, l_quantity double, l_returnflag string, l_linestatus string, l_shipdate string"
+    stamp = lambda df, c: df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    stamp(spark.createDataFrame(items, columns), "l_shipdate").write.parquet(f"{folder}/lineitem.parquet")
+    stamp(spark.createDataFrame([(k, "2000-03-05", "1-URGENT") for k in range(20)], "o_orderkey long, o_orderdate string, o_orderpriority string"), "o_orderdate").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(p, f"n{p}", "t", "b", 30) for p in (1, 2)], "p_partkey long, p_name string, p_type string, p_brand string, p_size long").write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame([(s, 1, 100.0) for s in (1, 2)], "s_suppkey long, s_nationkey long, s_acctbal double").write.parquet(f"{folder}/supplier.parquet")
+    events = spark.createDataFrame([(1, 1, "2000-01-01", "error", 50.0)], "event_id long, user_id long, ts string, event_type string, value double")
+    stamp(events, "ts").write.parquet(f"{folder}/events.parquet")
+
+
+def test_recommendations_are_computed_once_for_all_figures(spark, tmp_path):
+    """What several branches of a result read is stored, so none of them joins or reads the items again."""
+    from __spark_entry__ import queries
+
+    _tiny(spark, str(tmp_path))
+    change, counts = (queries()[n](spark, str(tmp_path)) for n in ("agg_pct_change", "agg_category_counts"))
+    plan = change._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "l_partkey" not in plan
+    assert "l_partkey" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert change.count() >= 1 and {r.chart for r in counts.collect()} >= {"recommendation", "event", "severity"}
+
+
+def test_component_analysis_looks_up_covered_stretches_only(spark, monkeypatch):
+    from tarmac.operators import maintenance as mnt
+
+    seen, plain = [], mnt.interval_totals
+    monkeypatch.setattr(mnt, "interval_totals", lambda spans, *a, **k: seen.append(spans) or plain(spans, *a, **k))
+    days = ["2024-01-01 08:00:00", "2024-01-04 08:00:00", "2024-01-04 20:00:00", "2024-01-09 07:00:00"]
+    work = spark.createDataFrame([(1, d, True) for d in days] + [(2, days[0], False)], "component_id long, event_timestamp string, is_scheduled boolean")
+    work = work.withColumn("event_timestamp", F.to_timestamp("event_timestamp"))
+    usage = spark.createDataFrame([(7, f"2024-01-0{d}", 1.0) for d in range(1, 10)], "aircraft_msn long, date string, flight_hours double").withColumn("date", F.to_date("date"))
+    # a component that is listed twice counts twice
+    parts = spark.createDataFrame([(1, "a", 7, 30), (1, "a", 7, 30), (2, "b", 7, 30), (1, "z", 8, 30)], "component_id long, component_name string, aircraft_msn long, recommended_maintenance_interval long")
+    alerts = spark.createDataFrame([(1,)], "component_id long")
+    got = {r.component_id: r for r in mnt.component_analysis(work, usage, alerts, parts).collect()}
+    # four days, one day and six days flown between four events; gaps of 3, 0 and 4 whole days
+    assert set(got) == {1} and got[1].total_maintenance_events == 8 and got[1].alert_count == 1
+    assert got[1].avg_actual_interval_days == 2 * 7 / 7 and abs(got[1].avg_flight_hours_between_maintenance - 2 * 11 / 7) < 1e-9
+    assert seen[0].count() == 3 and "component_name" not in seen[0].columns
