@@ -409,6 +409,7 @@ def _(f):
     {R('(AVG(optimal_interval_days) - AVG(recommended_maintenance_interval)) / AVG(recommended_maintenance_interval) * 100')}, {R('AVG(confidence_score)')}
     FROM recs WHERE optimal_interval_days > recommended_maintenance_interval GROUP BY component_type""")
 def _(f):
+    f.store("components", "maint", "recs")
     extra = {"confidence": F.avg("confidence_score")}
     cols = ("optimal_interval_days", "recommended_maintenance_interval")
     each = ag.mean_change(f.recs, ["component_type", "recommendation"], *cols, extra)
@@ -425,6 +426,7 @@ def _(f):
     UNION ALL SELECT 'failing type', component_type, COUNT(*) FROM maint JOIN components USING (component_id)
         WHERE event_type = 'FAILURE' AND NOT is_scheduled GROUP BY 2""")
 def _(f):
+    f.store("components", "maint", "alerts")
     failures = f.maint.filter(rel.failure_condition("unscheduled_failure")).groupBy("component_id").agg(F.count("*").alias("n"))
     by_type = failures.join(f.components, "component_id").groupBy(F.col("component_type").alias("metric")).agg(F.sum("n").alias("value"))
     charts = {
