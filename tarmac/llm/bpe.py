@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
-from heapq import heapify, heappop, heappush
+from heapq import heapify, heappop, heappush, heapreplace
 from itertools import count, islice, pairwise
 
 import numpy as np
@@ -69,6 +70,19 @@ class PerfectHash:
         return self.index[-1 - seed if seed < 0 else xxhash.xxh3_64_intdigest(key, seed) % self.size]
 
 
+BEYOND = re.compile("[\U00010000-\U0010ffff]")
+POINTS = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+
+
+@cache
+def library_class(pattern: str) -> frozenset[str]:
+    """All characters that the library takes for members of a class."""
+    import tiktoken
+
+    splitter = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
+    return frozenset("".join(bytes(splitter.encode_ordinary(POINTS[i : i + 65536])).decode() for i in range(0, len(POINTS), 65536)))
+
+
 @cache
 def other_classes() -> dict[int, str]:
     """Code points that ``regex`` takes for letters, numbers or white space and the library for something else, or the reverse.
@@ -76,20 +90,48 @@ def other_classes() -> dict[int, str]:
     The two follow different versions of Unicode. Each is mapped to a character that both put into the class the library chooses, so that
     a text translated by this table is split by ``regex`` as the library would split it.
     """
-    import tiktoken
-
-    points = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    byte_ranks = {bytes([i]): i for i in range(256)}
     out: dict[int, str] = {}
     for pattern, typical in ((r"\p{L}", "\xe9"), (r"\p{N}", "\xb2"), (r"\s", " ")):
-        splitter = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=byte_ranks, special_tokens={})
-        theirs = set("".join(bytes(splitter.encode_ordinary(points[i : i + 65536])).decode() for i in range(0, len(points), 65536)))
-        ours = set(regex.findall(pattern, points))
+        theirs, ours = library_class(pattern), set(regex.findall(pattern, POINTS))
         out |= {ord(c): "" for c in ours - theirs if ord(c) not in out}
         out |= {ord(c): typical for c in theirs - ours}
     return out
 
 
+@cache
+def spelled_out(pattern: str, last: int) -> str | None:
+    """The pattern for ``re``, its classes written as the library's own members up to a code point.
+
+    ``re`` splits texts without later code points as the library does, and faster than ``regex``. None if the pattern has parts that
+    the two may read differently.
+    """
+    spelled: dict[str, str] = {}
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        members = sorted(ord(c) for c in library_class(name) if ord(c) <= last)
+        starts = [c for before, c in zip([-2, *members], members) if c != before + 1]
+        ends = [c for c, after in zip(members, [*members[1:], -2]) if after != c + 1]
+        spelled[name] = "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in zip(starts, ends))
+    out, inside = [], False
+    for part in re.findall(r"\\[pP]\{\^?\w+\}|\\.|\(\?.|.", pattern, re.DOTALL):
+        if part in spelled:
+            part = spelled[part] if inside else f"[{spelled[part]}]"
+        elif part == r"\S" and not inside:
+            part = f"[^{spelled[r'\s']}]"
+        elif part[0] == "\\":
+            if len(part) > 2 or part[1].isalnum() and part[1] not in "nrtfv":
+                return None
+        elif inside:
+            if part == "[":
+                return None
+            inside = part != "]"
+        elif part in "^$" or part[:2] == "(?" and part[2] not in ":=!":
+            return None
+        else:
+            inside = part == "["
+        out.append(part)
+    return "".join(out)
+
+
 class Encoder(dict):
     """Encodes and decodes texts with one vocabulary.
 
@@ -99,22 +141,27 @@ class Encoder(dict):
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens, self.pattern = tokens, pattern
         self.whole, self.classes = PerfectHash(tokens), other_classes()
+        self.plain = [spelled_out(pattern, last) for last in (0x7F, 0xFFFF)]
         self.prepare()
         self.follow = self.joined()
 
     def __reduce__(self):
-        return _encoder, ({k: self.__dict__[k] for k in ("tokens", "pattern", "whole", "classes", "follow")},)
+        return _encoder, ({k: self.__dict__[k] for k in ("tokens", "pattern", "plain", "whole", "classes", "follow")},)
 
     def prepare(self) -> None:
         self.split = regex.compile(self.pattern)
+        self.ascii, self.basic = (re.compile(p) if p else None for p in self.plain)
         self.strange = frozenset(map(chr, self.classes))
         self.older: dict[str, bytes] = {}
         self.single = [self.rank(bytes([b])) for b in range(256)]
 
     def pieces(self, text: str) -> Iterator[str]:
         """Pre-tokens in order."""
-        if text.isascii() or self.strange.isdisjoint(set(text)):
-            return (m.group() for m in self.split.finditer(text)) if len(text) > CHUNK else iter(self.split.findall(text))
+        split = self.ascii if text.isascii() else self.basic if BEYOND.search(text) is None else None
+        if split is None and (text.isascii() or self.strange.isdisjoint(set(text))):
+            split = self.split
+        if split is not None:
+            return (m.group() for m in split.finditer(text)) if len(text) > CHUNK else iter(split.findall(text))
         return (text[m.start() : m.end()] for m in self.split.finditer(text.translate(self.classes)))
 
     def rank(self, word: bytes) -> int:
@@ -138,30 +185,29 @@ class Encoder(dict):
         """Ids of a word that is no token: the lowest rank is merged first, of equal ones the leftmost.
 
         The bytes are a linked list with an end mark of id -1 at place n. The heap holds (rank, place); an entry whose pair no longer has that
-        rank is passed over.
+        rank is passed over. That of a merged pair makes room for the new pair at its place.
         """
-        follow, single, n = self.follow, self.single, len(word)
-        ids = [single[b] for b in word]
-        heap = []
-        for i, (left, right) in enumerate(pairwise(ids)):
-            rank = follow[left].get(right)
-            if rank is not None:
-                heap.append((rank, i))
+        follow, n = self.follow, len(word)
+        ids = [*map(self.single.__getitem__, word)]
+        heap = [(rank, i) for i, (left, right) in enumerate(pairwise(ids)) if (rank := follow[left].get(right)) is not None]
         if not heap:
             return ids
         heapify(heap)
         ids.append(-1)
-        after, before = list(range(1, n + 2)), list(range(-1, n))
+        after, before = [*range(1, n + 2)], [*range(-1, n)]
         while heap:
-            rank, i = heappop(heap)
+            rank, i = heap[0]
             j = after[i]
             if follow[ids[i]].get(ids[j]) != rank:
+                heappop(heap)
                 continue
             after[i] = k = after[j]
             before[k], ids[i], ids[j] = i, rank, -1
             found = follow[rank].get(ids[k])
             if found is not None:
-                heappush(heap, (found, i))
+                heapreplace(heap, (found, i))
+            else:
+                heappop(heap)
             h = before[i]
             found = follow[ids[h]].get(rank)
             if found is not None:

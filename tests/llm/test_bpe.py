@@ -89,3 +89,22 @@ def test_frames(spark, encoder, library):
     assert bpe.decode(bpe.encode(documents(spark, []), encoder), encoder).count() == 0
     none = bpe.decode(spark.createDataFrame([(None,)], "ids array<int>"), encoder).first()
     assert none.decoded is None
+
+
+def test_texts_of_the_basic_plane_are_split_by_spelled_out_classes(encoder):
+    import re
+
+    assert all(isinstance(s, re.Pattern) for s in (encoder.ascii, encoder.basic))
+    for text in texts():
+        split = encoder.ascii if text.isascii() else encoder.basic
+        if max(text, default="") <= "￿":
+            translated = text.translate(encoder.classes)
+            assert list(encoder.pieces(text)) == split.findall(text) == [text[m.start() : m.end()] for m in encoder.split.finditer(translated)]
+
+
+def test_patterns_that_may_be_read_differently_are_left_to_the_other_splitter(library):
+    for pattern in (r"\p{Lu}+|.", r"\P{L}+", r"\w+|\W", r"(?i:a)+", r"[\S]", r"^a|$", r"[[a-c]x]"):
+        assert bpe.spelled_out(pattern, 0x7F) is None
+    odd = bpe.Encoder(bpe.read_ranks(PATH), r"\p{Lu}+|\P{Lu}+")
+    assert odd.plain == [None, None]
+    assert list(odd.pieces("abCD éÉ\U0001f642")) == ["ab", "CD", " é", "É", "\U0001f642"]
