@@ -28,6 +28,21 @@ def tables(spark, failures, usage, alerts=()):
     return maint, used, raised
 
 
+def test_history_counts_events_before_they_meet_their_components(spark):
+    maint, usage, _ = tables(
+        spark,
+        [("A1", "c1", "2024-01-10 05:00:00", "FAILURE", False), ("A1", "c1", "2024-01-11 05:00:00", "FAILURE", True), ("A1", "c1", "2024-02-01 05:00:00", "REPAIR", True),
+         ("A2", "c2", "2024-01-12 05:00:00", "FAILURE", False), ("A9", "gone", "2024-01-12 05:00:00", "FAILURE", False), ("A9", None, "2024-01-12 05:00:00", "FAILURE", False)],
+        [("A1", "2024-01-09", 10.0), ("A1", "2024-01-10", 6.0)],
+    )
+    comps = spark.createDataFrame([("c1", "A1"), ("c2", "A2"), ("c2", "A2"), (None, "A1")], "component_id string, aircraft_msn string")
+    comps = comps.withColumns({"component_type": F.lit("t"), "manufacturer": F.lit("m")})
+    history = reliability.reliability_history(maint.drop("aircraft_msn"), usage, comps)
+    rows = history.select("component_id", F.month("calculation_timestamp"), "total_failures", "unscheduled_failures", "mtbf_hours").collect()
+    # a repeated component has its row twice, and each counts the event joined with both
+    assert sorted(map(tuple, rows)) == [("c1", 1, 2, 1, 8.0), ("c1", 2, 0, 0, None), ("c2", 1, 2, 2, None), ("c2", 1, 2, 2, None)]
+
+
 def test_reliability_edges(spark):
     maint, usage, alerts = tables(
         spark, [("A2", "c2", "2024-01-10 05:00:00", "FAILURE", False), ("A3", "c3", "2024-01-10 05:00:00", "FAILURE", True)],
