@@ -229,6 +229,25 @@ def test_failure_frame_matches_loops(spark):
         assert r.avg_engine_1_temp == 2.5
 
 
+def test_days_of_the_failure_frame_keep_repeated_use_and_gaps(spark):
+    maint, usage, raised = tables(
+        spark, [("A", "c1", "2024-03-20 00:00:00", "CHECK", True), ("B", "c2", "2024-01-05 00:00:00", "CHECK", True)],
+        [("A", "2024-03-30", 5.0), ("A", "2024-03-30", 7.0), ("B", "2024-04-02", 1.0), ("C", "2024-01-03", 9.0)], [("A", "c1", "2024-04-01 00:00:00", "INFO")],
+    )
+    comps = spark.createDataFrame([(f"c{i}", "t", "m") for i in range(4)], "component_id string, component_type string, manufacturer string")
+    fleet = spark.createDataFrame([("A", "X"), ("B", "Y")], "aircraft_msn string, airline_code string")
+    samples = spark.createDataFrame([("A", "f1", datetime(2024, 2, 10), 2.0), ("A", "f2", datetime(2024, 4, 1), 4.0)], "aircraft_msn string, flight_id string, event_timestamp timestamp, engine_1_temp double")
+    got = training.failure_frame(maint, comps, fleet, usage, samples, raised).collect()
+    # from the first to the last known day, 3 January to 2 April; the day with two rows of use comes twice
+    days = [date(2024, 1, 3) + timedelta(days=i) for i in range(91)]
+    assert sorted((r.component_id, r.date) for r in got) == sorted([("c1", d) for d in [*days, date(2024, 3, 30)]] + [("c2", d) for d in days])
+    used = {(r.component_id, r.date, r.flight_hours) for r in got if r.flight_hours}
+    assert used == {("c1", date(2024, 3, 30), 5.0), ("c1", date(2024, 3, 30), 7.0), ("c2", date(2024, 4, 2), 1.0)}
+    assert {(r.component_id, r.avg_engine_1_temp) for r in got if r.date < date(2024, 4, 1)} == {("c1", 2.0), ("c2", 0.0)}
+    assert {r.avg_engine_1_temp for r in got if r.component_id == "c1" and r.date >= date(2024, 4, 1)} == {4.0}
+    assert [(r.date, r.total_alerts) for r in got if r.total_alerts] == [(date(2024, 4, 1), 1)]
+
+
 @pytest.mark.parametrize("d", [1, 2, 3, 4, 7])
 def test_density_noise_matches_brute_force(spark, d):
     rng = np.random.default_rng(d)

@@ -47,6 +47,13 @@ def test_failure_frame_is_taken_apart_after_its_last_shuffle(fleet):
     assert not re.search(r"(currentrow\$\(\)|\b1), unboundedfollowing", text)
 
 
+def test_days_of_the_failure_frame_come_out_of_generated_code(fleet):
+    frame = training.failure_frame(fleet.maint, fleet.components, fleet.aircraft, fleet.usage, fleet.flights, fleet.alerts)
+    days = plan(frame).split("Generate inline")[1].splitlines()[0]
+    # a function with a lambda would take the days of every stretch out of generated code
+    assert "lambda" not in days and "filter(" not in days
+
+
 def test_top_k_is_cut_before_the_shuffle(fleet):
     text = plan(windows.top_k(fleet.alerts, ["severity"], [F.desc("event_timestamp")], 3))
     assert re.search(r"WindowGroupLimit.*Partial", text)
