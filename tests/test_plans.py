@@ -54,6 +54,13 @@ def test_days_of_the_failure_frame_come_out_of_generated_code(fleet):
     assert "lambda" not in days and "filter(" not in days
 
 
+def test_figures_nobody_asks_for_are_not_carried(fleet):
+    frame = training.failure_frame(fleet.maint, fleet.components, fleet.aircraft, fleet.usage, fleet.flights, fleet.alerts)
+    asked = plan(frame.select("date", "failure_next_7d"))
+    assert "engine_1_temp" not in asked and "component_type" not in asked and "takeoffs" not in asked
+    assert "engine_1_temp" in plan(frame.select("date", "avg_engine_1_temp"))
+
+
 def test_top_k_is_cut_before_the_shuffle(fleet):
     text = plan(windows.top_k(fleet.alerts, ["severity"], [F.desc("event_timestamp")], 3))
     assert re.search(r"WindowGroupLimit.*Partial", text)
