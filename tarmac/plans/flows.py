@@ -54,11 +54,14 @@ def _(f):
     UNION ALL SELECT 'weather_data', COUNT(*) FROM nation UNION ALL SELECT 'unknown', COUNT(*) FROM region""")
 def _(f):
     root = scratch_path(f.spark, "mixed")
+    # the components are found once
+    f.store("components")
     parts = {
         "sensors": f.flights, "cycles": f.usage, "alarms": f.alerts, "maintenance_log": f.maint, "weather_data": f.table("nation"), "other": f.table("region"),
     }
+    # every line names its fields, which compresses well
     for name, df in parts.items():
-        writers.write_json_report(df, f"{root}/{name}")
+        writers.write_json_report(df, f"{root}/{name}", "gzip")
     return readers.read_routed(f.spark, [f"{root}/{name}" for name in parts]).groupBy("route").agg(F.count("*").alias("n"))
 
 

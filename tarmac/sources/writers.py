@@ -40,8 +40,9 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, st
     )
 
 
-def write_json_report(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_json_report(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """JSON lines; a compressed file is one split when it is read, so it stays as large as what one task wrote."""
+    df.write.mode("overwrite").json(path, compression=compression)
 
 
 def keyed_json(df: DataFrame, key: str, topic: Column | str | None = None) -> DataFrame:

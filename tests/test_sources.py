@@ -68,3 +68,14 @@ def test_database_reads_are_split(spark):
     assert days == ["ts >= '2024-01-01' AND ts < '2024-01-02'", "ts >= '2024-01-02' AND ts < '2024-01-03'"]
     readers.read_jdbc(r, "url", "t", {}, predicates=days)
     assert r.calls[-1][1]["predicates"] == days
+
+
+def test_compressed_dumps_are_routed_like_plain_ones(spark, tmp_path):
+    rows = spark.range(500).selectExpr("CAST(id AS DOUBLE) AS engine_1_temp", "id % 7 AS flight_id", "'sensors' AS origin")
+    for name, compression in (("plain", None), ("packed", "gzip")):
+        writers.write_json_report(rows, str(tmp_path / name / "maintenance_log"), compression)
+        writers.write_json_report(rows.selectExpr("'CHECK' AS event_type"), str(tmp_path / name / "maintenance_more"), compression)
+    routed = lambda name: sorted(readers.read_routed(spark, [str(tmp_path / name / f) for f in ("maintenance_log", "maintenance_more")]).collect())
+    assert routed("plain") == routed("packed") and {r.route for r in routed("packed")} == {"flight_data", "maintenance_events"}
+    size = lambda name: sum(p.stat().st_size for p in (tmp_path / name).rglob("part-*"))
+    assert size("packed") * 4 < size("plain")
