@@ -453,6 +453,28 @@ def test_failure_classifier_learns_a_planted_signal(spark):
         assert out[out.bad].failure_probability.mean() > 0.6 > 0.4 > out[~out.bad].failure_probability.mean()
 
 
+def test_forest_draws_and_walks_take_few_passes(monkeypatch):
+    from tarmac.operators import forest
+
+    rng, calls, real = np.random.default_rng(12), [], forest.unit_hash
+    x = np.round(rng.normal(size=(600, 4)) * 9, 1)
+    drawn = forest._drawn(np.arange(600), 1 - rng.random(600), x, 600, 100, 256, 7)
+    monkeypatch.setattr(forest, "unit_hash", lambda *a: calls.append(1) or real(*a))
+    at, tree = forest.draws(drawn["rows"], drawn["first"], drawn["share"], 100, 7)
+    # several gaps of all rows at once, not one at a time; no tree draws a row twice
+    assert len(calls) < 10 and len({*zip(at.tolist(), tree.tolist())}) == len(at) and abs(len(at) / 600 - 100 * drawn["share"]) < 3
+    m, roots, feature, value, jump = forest.grown(drawn)
+    paths = []
+    for row in x[:40]:
+        ends = []
+        for node in roots:
+            while feature[node] >= 0:
+                node = node + (jump[node] if row[feature[node]] > value[node] else 1)
+            ends.append(value[node])
+        paths.append(-(2 ** -(np.mean(ends) / float(forest.average_path(m)))))
+    assert np.allclose(forest.outlier_score(x, m, roots, feature, value, jump)[:40], paths)
+
+
 def test_detection_chain_finds_planted_anomalies(spark, tmp_path):
     rng = np.random.default_rng(11)
     make = lambda n, g: pd.DataFrame(rng.normal(size=(n, 4)) * [1, 2, 3, 4] + [5, 6, 7, 8], columns=list("abcd")).assign(g=g)
