@@ -61,6 +61,14 @@ def test_figures_nobody_asks_for_are_not_carried(fleet):
     assert "engine_1_temp" in plan(frame.select("date", "avg_engine_1_temp"))
 
 
+def test_the_regression_reads_its_input_once(spark):
+    rows = spark.range(300).selectExpr("id", *[f"CAST(id % {i + 3} AS DOUBLE) AS {c}" for i, c in enumerate(training.RISK_FEATURES)])
+    risks = rows.join(spark.range(300).selectExpr("id", "CAST(id % 5 AS DOUBLE) AS failure_risk").repartition(3, "id"), "id")
+    assert "Join" in plan(risks)
+    _, tested, rmse = training.risk_regression(risks, ["id"], trees=3)
+    assert "Join" not in plan(tested) and 0 < tested.count() < 150 and rmse >= 0
+
+
 def test_top_k_is_cut_before_the_shuffle(fleet):
     text = plan(windows.top_k(fleet.alerts, ["severity"], [F.desc("event_timestamp")], 3))
     assert re.search(r"WindowGroupLimit.*Partial", text)
